@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing
+from quire.llm import bpe, packing, pii
 from quire.sources.tables import table
 
 
@@ -27,7 +27,27 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Personal information of every document."""
+    return pii.find(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """The keyed replacement of every distinct value."""
+    return pii.surrogates(p9_found(spark, d))
+
+
+def p9_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with typed placeholders, and with surrogates."""
+    docs = table(spark, d, "documents")
+    found = pii.cut(pii.find(docs, "doc_id", "text"))
+    return pii.replace(docs, "doc_id", "text", found, pii.surrogates(found))
+
+
 QUERIES = {
+    "p9_found": p9_found,
+    "p9_surrogates": p9_surrogates,
+    "p9_texts": p9_texts,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,
