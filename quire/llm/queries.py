@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, pii
+from quire.llm import bpe, lookalike, packing, pii
 from quire.sources.tables import table
 
 
+ELEMENTS = "elements_core_content_types_rubric_v1"
+
+
+def p2_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The consistent form of every element's text, with its class among the book's texts."""
+    forms = lookalike.consistent_forms(table(spark, d, ELEMENTS), "element_key", "book_id", "text").dropDuplicates(["element_key"])
+    return forms.select("element_key", "book_id", F.md5("form").alias("class_id"), "form")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of elements of a book that look the same but are stored differently."""
+    forms = lookalike.consistent_forms(table(spark, d, ELEMENTS), "element_key", "book_id", "text")
+    return lookalike.same_look_pairs(forms, "element_key", "book_id")
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encode_column(table(spark, d, "documents"), "doc_id", "text", "ids")
@@ -45,6 +60,8 @@ def p9_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_forms": p2_forms,
     "p9_found": p9_found,
     "p9_surrogates": p9_surrogates,
     "p9_texts": p9_texts,
