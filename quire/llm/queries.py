@@ -5,13 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, lookalike, packing, pii
+from quire.llm import bpe, lookalike, packing, pii, quality
 from quire.sources.tables import table
 
 
 ELEMENTS = "elements_core_content_types_rubric_v1"
 
 
+def _text_types(spark: SparkSession, d: str) -> DataFrame:
+    common = quality.common_words(spark, d)
+    elements = quality.vote_rows(table(spark, d, ELEMENTS), "element", "element_key", "text", common, html=False)
+    pages = quality.vote_rows(table(spark, d, "pages_html"), "page", "page_key", "html", common, html=True)
+    return quality.text_types(elements.unionByName(pages))
+
+
+def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Text statistics of every element."""
+    return quality.statistics(table(spark, d, ELEMENTS), "element_key", "text", quality.common_words(spark, d)).dropDuplicates(["element_key"])
+
+
+def p1_types(spark: SparkSession, d: str) -> DataFrame:
+    """Text type of every element and page with its weight."""
+    return _text_types(spark, d).dropDuplicates(["src_table", "rec_key"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Elements and pages of some length that are mainly list, table or junk."""
+    found = _text_types(spark, d).where((F.col("chars") >= quality.MIN_CHARS) & (F.col("other_share") > 0.5))
+    return found.select("src_table", "rec_key").distinct()
+
+
 def p2_forms(spark: SparkSession, d: str) -> DataFrame:
     """The consistent form of every element's text, with its class among the book's texts."""
     forms = lookalike.consistent_forms(table(spark, d, ELEMENTS), "element_key", "book_id", "text").dropDuplicates(["element_key"])
@@ -60,6 +83,9 @@ def p9_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_types": p1_types,
+    "p1_statistics": p1_statistics,
     "p2_found": p2_found,
     "p2_forms": p2_forms,
     "p9_found": p9_found,
