@@ -13,7 +13,7 @@ SILENT = re.compile(r"<(script|style|head|title)\b[^>]*>.*?</\1\s*>", re.S | re.
 
 
 class Unit(NamedTuple):
-    """One block: ``kind`` is p, h, li, tr, dl, header or footer; ``text`` has its lines; ``group`` counts the enclosing lists and tables."""
+    """One block: ``kind`` is p, b (wholly bold), h, li, tr, dl, header or footer; ``text`` has its lines; ``group`` counts the enclosing lists and tables."""
 
     kind: str
     text: str
@@ -28,18 +28,19 @@ def units(source: str | None) -> list[Unit]:
         source = SILENT.sub("", source)
     out: list[Unit] = []
     parts: list[str] = []
-    kind, zone, group, inside = "p", "", 0, 0
+    kind, zone, group, inside, bold = "p", "", 0, 0, 0
 
     def flush() -> None:
-        nonlocal parts
+        nonlocal parts, bold
         if parts:
             text = "".join(parts)
-            parts = []
+            whole = kind == "p" and not zone and 0 < bold >= len(text.strip())
+            parts, bold = [], 0
             if "&" in text:
                 text = _html.unescape(text)
             text = text.strip()
             if text:
-                out.append(Unit(zone or kind, text, group if inside else 0))
+                out.append(Unit(zone or ("b" if whole else kind), text, group if inside else 0))
 
     at = 0
     for m in TAG.finditer(source):
@@ -55,6 +56,10 @@ def units(source: str | None) -> list[Unit]:
             if source[at : at + 1] != "\n":
                 parts.append("\n")
             continue
+        if name == "b" or name == "strong":
+            if m.group(1) and parts:
+                bold += len(parts[-1].strip())
+            continue
         if name == "td" or name == "th":
             if not m.group(1) and parts and not parts[-1].endswith(" | "):
                 parts.append(" | ")

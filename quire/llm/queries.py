@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, lookalike, packing, pii, quality
+from quire.llm import bpe, lookalike, packing, pii, quality, scannoise
+from quire.session import cut
 from quire.sources.tables import table
 
 
@@ -47,6 +48,33 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.same_look_pairs(forms, "element_key", "book_id")
 
 
+def _listed_words(spark: SparkSession, d: str) -> frozenset[str]:
+    """The words of the fixed word list (some hundred rows whatever the corpus)."""
+    return frozenset(r["w"] for r in table(spark, d, "word_list").select(F.lower("word").alias("w")).distinct().collect())
+
+
+def _noise(spark: SparkSession, d: str) -> DataFrame:
+    known = _listed_words(spark, d)
+    elements, pages = table(spark, d, ELEMENTS), table(spark, d, "pages_html")
+    rows = scannoise.scan(elements, "element", "element_key", "text", known, html=False)
+    rows = cut(rows.unionByName(scannoise.scan(pages, "page", "page_key", "html", known, html=True)))
+    edges = scannoise.element_edges(elements).unionByName(scannoise.page_edges(rows))
+    edge = scannoise.edge_noise(edges, table(spark, d, "books")).withColumn("stored", F.col("value"))
+    return scannoise.word_noise(rows).unionByName(edge)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Divided and misread words, running heads and page numbers of every element and page."""
+    return _noise(spark, d).select("src_table", "rec_key", "noise", "value").distinct()
+
+
+def p3_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Repaired text of every element and page."""
+    noise = cut(_noise(spark, d).distinct())
+    elements = scannoise.repair(table(spark, d, ELEMENTS), "element", "element_key", "text", noise, html=False)
+    return elements.unionByName(scannoise.repair(table(spark, d, "pages_html"), "page", "page_key", "html", noise, html=True))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encode_column(table(spark, d, "documents"), "doc_id", "text", "ids")
@@ -91,6 +119,8 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_surrogates": p9_surrogates,
     "p9_texts": p9_texts,
+    "p3_found": p3_found,
+    "p3_texts": p3_texts,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,
