@@ -35,41 +35,48 @@ from quire.llm import pagetext, quality
 
 # What scanners read -> what stood there.
 CONFUSIONS = (
-    ("c", "e"), ("e", "c"), ("u", "a"), ("a", "u"), ("0", "o"), ("o", "0"), ("f", "t"), ("t", "f"), ("5", "s"), ("1", "l"), ("1", "i"), ("l", "i"), ("i", "l"),
+    ("c", "e"), ("e", "c"), ("u", "a"), ("a", "u"), ("0", "o"), ("o", "0"), ("f", "t"), ("t", "f"), ("5", "s"), ("1", "l"), ("11", "ll"), ("1", "i"), ("l", "i"), ("i", "l"),
     ("9", "g"), ("q", "g"), ("6", "b"), ("8", "b"), ("b", "h"), ("h", "b"), ("n", "r"), ("r", "n"), ("ri", "n"), ("n", "ri"), ("ii", "u"), ("u", "ii"), ("rn", "m"), ("m", "rn"),
-    ("nn", "m"), ("ni", "m"), ("in", "m"), ("cl", "d"), ("d", "cl"), ("tl", "d"), ("vv", "w"), ("w", "vv"), ("li", "h"), ("lc", "k"), ("3", "e"), ("2", "z"), ("4", "a"), ("7", "t"),
+    ("nn", "m"), ("rm", "nn"), ("ni", "m"), ("in", "m"), ("cl", "d"), ("d", "cl"), ("tl", "d"), ("vv", "w"), ("w", "vv"), ("li", "h"), ("lc", "k"), ("3", "e"), ("2", "z"), ("4", "a"), ("7", "t"),
     ("n", "u"), ("u", "n"), ("v", "y"), ("y", "v"), ("o", "e"), ("e", "o"), ("o", "c"), ("c", "o"), ("fi", "h"), ("s", "5"), ("ll", "u"), ("1", "t"), ("l", "t"), ("t", "l"),
+    ("!", "i"), ("!", "l"), ("|", "l"), ("|", "i"), ("$", "s"),
 )
 #: A target must be that many times as frequent as the word it replaces.
 RATIO = 10
 MIN_TARGET = 5
 EDGE_CHARS = 80
 
-WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
+#: The same words where no sign can stand within one: in any text, and in ASCII text.
+PLAIN_WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+ASCII_WORD = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
 DIVIDED = re.compile(r"((?:[^\W\d_][^\W_]*-)?[^\W_]+)[-¬][^\S\n]*\n\s*([^\W\d_][^\W_]*(?:-[^\W\d_][^\W_]*)*(?![-¬][^\S\n]*\n))")
 WRAP = re.compile(r"[-¬][^\S\n]*\n\s*")
-ODD_SPACE = ("\t", "|", ";", "  ", "...", "- ", "* ", "• ", "– ", "o ", "(", ". ")
+MARKS = frozenset("-*•–‣◦▪o(0123456789")
 
 
-def is_running_text(text: str, words: list[str], known: int) -> bool:
-    """Whether a text is prose to repair: mostly known words, and no list or table by its lines."""
-    if 3 * known < len(words):
+def is_running_text(text: str, words: int, known: int) -> bool:
+    """Whether a text is prose to repair: known words among its words, and no list or table by its lines."""
+    if 6 * known < words:
         return False
     lines = text.count("\n") + 1
-    if lines >= 3 and len(words) <= 4.5 * lines and len(quality.CLOSED.findall(text)) <= 0.2 * lines:
+    if lines >= 3 and words <= 4.5 * lines and len(quality.CLOSED.findall(text)) <= 0.2 * lines:
         return False
-    if any(x in text for x in ODD_SPACE):
-        shaped = max(len(quality.MARKER.findall(text)), len(quality.LEADER.findall(text)) + len(quality.LOCATORS.findall(text)))
-        if shaped >= 0.6 * lines and (lines > 1 or 2 * known < len(words) or quality.LEADER.search(text) or re.match(r"\s*[-*•–]\s", text)):
-            return False
-        if len(quality.CELLS.findall(text)) >= 0.6 * lines and not quality.STATS.search(text):
-            return False
+    shaped = len(quality.MARKER.findall(text)) if text[0] in MARKS else 0
+    if ".." in text or "…" in text:
+        shaped += len(quality.LEADER.findall(text))
+    if lines > 1 and text[-1].isdigit():
+        shaped += len(quality.LOCATORS.findall(text))
+    if shaped >= 0.6 * lines and (lines > 1 or 2 * known < words or ".." in text or text[0] in "-*•–"):
+        return False
+    if "|" in text or "\t" in text or "  " in text or ";" in text:
+        return len(quality.CELLS.findall(text)) < 0.6 * lines or quality.STATS.search(text) is not None
     return True
 
 
 def is_word(w: str) -> bool:
     """Words worth correcting: with letters, not only a number or a single letter."""
-    return len(w) > 2 and not w.isdigit() and any(c.isalpha() for c in w)
+    return len(w) > 2 and (w.isalpha() or (not w.isdigit() and any(map(str.isalpha, w))))
 
 
 class Reader:
@@ -87,13 +94,14 @@ class Reader:
             divided = {(a.lower(), b.lower()) for a, b in DIVIDED.findall(text)}
             if divided:
                 flat = DIVIDED.sub(" ", text)
-        words = WORD.findall(flat.lower())
+        pattern = WORD if "!" in flat or "|" in flat or "$" in flat else ASCII_WORD if flat.isascii() else PLAIN_WORD
+        words = pattern.findall(flat.lower())
         if not words:
             return set(), set()
         distinct = set(words)
         there = distinct & self.known
-        good = sum(1 for w in words if w in there)
-        if not is_running_text(text, words, good):
+        good = sum(map(there.__contains__, words))
+        if not is_running_text(text, len(words), good):
             return set(), set()
         self.counts.update(there)
         return {w for w in distinct - there if is_word(w)}, divided
@@ -287,6 +295,11 @@ def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]
             below_head = x[3] == 1 and 0 in heads and int(x[2]) > 3
             if (ends and not above_head) or (x[3] == 1 and not above_head and not below_head) or (x[3] == 0 and x[4] == "t" and not above_head and int(x[2]) <= 6):
                 x[1] = None
+    # One number a page: that above the running head, before a bare one at the end.
+    if any(x[1] == "pageno" and x[3] + 1 in heads for x in found):
+        for x in found:
+            if x[1] == "pageno" and x[2].isdigit() and x[3] >= 2 and x[4] in ("t", "p"):
+                x[1] = None
     # The title of the book on its first page is no running head unless it stands there twice.
     title = lines[0]["title"]
     if page == 1 and title:
