@@ -38,9 +38,15 @@ CELLS = re.compile(r"^[^\n]*?\S(?:\t+| *\| *| *; *| {2,})[^\n]*?(?:\t+| *\| *| *
 STATS = re.compile(r"\b[A-Z]{2,}:? *\d+\s+[A-Z]{2,}:? *\d+")  # score lines of a fight, no table
 CLOSED = re.compile(r"[.!?:;,\"”»)…-]\s*$", re.M)
 VOWELS = frozenset("aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿаеиоуыэюяєіїαεηιουω")
+ONE_MARKER = re.compile(MARKER.pattern)
 SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"’‘“”()«»¿¡–—-]|_")
 
 
+#: Deletes from ASCII text all that SYMBOLS does not count.
+NO_SYMBOL = {c: None for c in range(128) if not SYMBOLS.match(chr(c))}
+CLOSERS = ".!?:;,\"”»)…-"
+
+
 class Stats(NamedTuple):
     """Statistics of one text."""
 
@@ -75,17 +81,41 @@ def is_odd(word: str) -> bool:
     return not all(p.isalpha() for p in re.split(r"[-'’/]", core) if p)
 
 
-def stats(text: str, common: frozenset[str]) -> Stats:
-    """All statistics of a non-empty text."""
+class Words(dict):
+    """Memo of word kinds in a worker: 1 common, 2 odd, 0 neither. Emptied when large: a bound on memory, not on the data."""
+
+    def __init__(self, common: frozenset[str]):
+        super().__init__()
+        self.common = common
+
+    def __missing__(self, word: str) -> int:
+        low = word.lower()
+        kind = 1 if low in self.common or low.strip(".,;:!?'\"()¿¡«»") in self.common else 2 if is_odd(word) else 0
+        if len(self) > 300_000:
+            self.clear()
+        self[word] = kind
+        return kind
+
+
+def stats(text: str, kinds: Words) -> Stats:
+    """All statistics of a non-empty text. The line patterns run only where their signs occur at all."""
     chars = len(text)
     words = text.split()
     n = max(1, len(words))
-    lines = max(1, text.count("\n") + 1)
-    low = text.lower().split()
-    hits = sum(1 for w in low if w in common or w.strip(".,;:!?'\"()¿¡«»") in common)
+    lines = text.count("\n") + 1
+    marks = [kinds[w] for w in words]
     digits = sum(map(text.count, "0123456789"))
-    symbols = sum(map(len, SYMBOLS.findall(text)))
-    scores = len(STATS.findall(text))
+    gaps = "  " in text or "|" in text or ";" in text or "\t" in text
+    scores = len(STATS.findall(text)) if digits and gaps else 0
+    leaders = len(LEADER.findall(text)) if ".." in text or "…" in text or ". ." in text else 0
+    locators = len(LOCATORS.findall(text)) if digits and (lines > 1 or text[-1:].isdigit()) else 0
+    if lines == 1:
+        closed = text[-1:] in CLOSERS
+        markers = ONE_MARKER.match(text) is not None
+    else:
+        closed = len(CLOSED.findall(text)) / lines
+        markers = len(MARKER.findall(text)) / lines
+    symbols = len(text.translate(NO_SYMBOL)) if text.isascii() else sum(map(len, SYMBOLS.findall(text)))
     return Stats(
         chars,
         len(words),
@@ -93,13 +123,13 @@ def stats(text: str, common: frozenset[str]) -> Stats:
         lines,
         symbols / chars,
         digits / chars,
-        len(CLOSED.findall(text)) / lines,
-        hits / n,
-        len(set(low)) / n,
-        sum(map(is_odd, words)) / n,
-        len(MARKER.findall(text)) / lines,
-        (len(LEADER.findall(text)) + len(LOCATORS.findall(text))) / lines,
-        0.0 if scores else len(CELLS.findall(text)) / lines,
+        float(closed),
+        marks.count(1) / n,
+        len(set(words)) / n,
+        marks.count(2) / n,
+        float(markers),
+        (leaders + locators) / lines,
+        len(CELLS.findall(text)) / lines if gaps and not scores else 0.0,
         scores,
     )
 
@@ -209,6 +239,7 @@ def vote_rows(df: DataFrame, src: str, key: str, text: str, common: frozenset[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = pa.list_(pa.struct([("votes", pa.string()), ("chars", pa.int32())]))
+        kinds = Words(common)
         for batch in batches:
             keys, chars, units = [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -225,7 +256,7 @@ def vote_rows(df: DataFrame, src: str, key: str, text: str, common: frozenset[st
                 for x in body:
                     x = plain(x)
                     if x:
-                        s = stats(x, common)
+                        s = stats(x, kinds)
                         found.append({"votes": votes(s), "chars": s.chars})
                 keys.append(k), chars.append(size), units.append(found)
             n = len(keys)
@@ -265,8 +296,9 @@ def statistics(df: DataFrame, key: str, text: str, common: frozenset[str]) -> Da
     spark_types = ", ".join(f"{n} {'long' if t == pa.int64() else 'double'}" for n, t in zip(names, types, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = Words(common)
         for batch in batches:
-            rows = [(k, stats(p, common)) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t and (p := plain(t))]
+            rows = [(k, stats(p, kinds)) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t and (p := plain(t))]
             cols = [pa.array([k for k, _ in rows], pa.int64())]
             cols += [pa.array([round(s[i], 6) for _, s in rows], types[i]) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names=[key, *names])
