@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from quire.plans import problems, problems_sql
+from quire.plans import problems, problems_sql, reference, reference_sql
 
-FLAGSHIP = "p6_found"
+FLAGSHIP = "run_health"
 
 
 def queries() -> dict:
-    return {**problems.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems_sql.SQL}
+    return {**problems_sql.SQL, **reference_sql.SQL}
