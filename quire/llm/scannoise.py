@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import pagetext, quality
+from quire.session import cut
 
 # What scanners read -> what stood there.
 CONFUSIONS = (
@@ -45,6 +46,11 @@ CONFUSIONS = (
 RATIO = 10
 MIN_TARGET = 5
 EDGE_CHARS = 80
+#: A running head or page number does not end like a sentence.
+SENTENCE_END = "[.!?:;,][\"'”»)]*$"
+OPEN_END = re.compile(SENTENCE_END)
+#: Tables of words up to that many rows are broadcast, larger ones joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
 #: The same words where no sign can stand within one: in any text, and in ASCII text.
@@ -107,46 +113,54 @@ class Reader:
         return {w for w in distinct - there if is_word(w)}, divided
 
 
-SCHEMA = "kind string, src_table string, rec_key long, a string, b string, n long, run_id string, book_id string, page int"
-NAMES = [x.split(" ")[0] for x in SCHEMA.split(", ")]
-TYPES = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32()]
+SCHEMA = (
+    "src_table string, rec_key long, words array<string>, divided array<struct<a:string,b:string>>, edges array<struct<text:string,place:int,count:int,kind:string>>, "
+    "run_id string, book_id string, page int, listed array<struct<word:string,n:bigint>>"
+)
+PAIRS = pa.list_(pa.struct([("a", pa.string()), ("b", pa.string())]))
+EDGES = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32()), ("count", pa.int32()), ("kind", pa.string())]))
+LISTED = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+TYPES = {
+    "src_table": pa.string(), "rec_key": pa.int64(), "words": pa.list_(pa.string()), "divided": PAIRS, "edges": EDGES,
+    "run_id": pa.string(), "book_id": pa.string(), "page": pa.int32(), "listed": LISTED,
+}
 
 
 def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], html: bool) -> DataFrame:
-    """One narrow pass. kind w: unknown word ``a``; h: divided word ``a``, ``b``; c: count ``n`` of listed word ``a``; e: edge line ``a`` of a page at place ``b``."""
-
-    def rows_of(reader: Reader, k: int, t: str, run_id, book_id, page) -> Iterator[tuple]:
-        if html:
-            parts = pagetext.units(t)
-            words, divided = set(), set()
-            for u in parts:
-                if u.kind not in ("li", "tr"):
-                    w, h = reader.read(u.text)
-                    words |= w
-                    divided |= h
-            for place in {0, 1, 2, len(parts) - 2, len(parts) - 1}:
-                if 0 <= place < len(parts) and len(parts[place].text) <= EDGE_CHARS and "\n" not in parts[place].text:
-                    yield ("e", src, k, parts[place].text, f"{place}/{len(parts)}/{parts[place].kind}", None, run_id, book_id, page)
-        else:
-            words, divided = reader.read(t)
-        for w in words:
-            yield ("w", src, k, w, None, None, None, None, None)
-        for a, b in divided:
-            yield ("h", src, k, a, b, None, None, None, None)
-
-    def pack(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [()] * len(NAMES)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, TYPES, strict=True)], names=NAMES)
+    """One narrow pass, one row per record with something to tell: its unknown ``words``, ``divided`` words and, for pages, ``edges``.
+
+    The last row of a task, without key, has the counts of the listed words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(known)
         for batch in batches:
-            rows: list[tuple] = []
-            for k, t, *place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if t:
-                    rows += rows_of(reader, k, t, *place)
-            yield pack(rows)
-        yield pack([("c", src, None, w, None, n, None, None, None) for w, n in reader.counts.items()])
+            got: dict[str, list] = {n: [] for n in TYPES}
+            for k, t, run_id, book_id, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not t:
+                    continue
+                edges = []
+                if html:
+                    parts = pagetext.units(t)
+                    words, divided = set(), set()
+                    for u in parts:
+                        if u.kind not in ("li", "tr"):
+                            w, h = reader.read(u.text)
+                            words |= w
+                            divided |= h
+                    n = len(parts)
+                    for place in {0, 1, 2, n - 2, n - 1}:
+                        if 0 <= place < n and len(line := parts[place].text) <= EDGE_CHARS and "\n" not in line and not OPEN_END.search(line):
+                            edges.append({"text": line, "place": place, "count": n, "kind": parts[place].kind})
+                else:
+                    words, divided = reader.read(t)
+                if words or divided or edges:
+                    pairs = [{"a": a, "b": b} for a, b in divided]
+                    for name, v in zip(TYPES, (src, k, list(words), pairs, edges, run_id, book_id, page, None), strict=True):
+                        got[name].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(got[n], t) for n, t in TYPES.items()], names=list(TYPES))
+        listed = [{"word": w, "n": n} for w, n in reader.counts.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([listed if n == "listed" else None], t) for n, t in TYPES.items()], names=list(TYPES))
 
     return df.select(F.col(key).cast("long").alias("k"), text, "run_id", "book_id", "page").mapInArrow(run, SCHEMA)
 
@@ -171,34 +185,36 @@ def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
     return met.groupBy("word").agg(F.max(F.struct("target_n", "target")).alias("m")).select("word", F.col("m.target").alias("target"))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A computed table, marked for broadcast only if its checked size allows."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def word_noise(rows: DataFrame) -> DataFrame:
     """(src_table, rec_key, noise, value, stored): divided and misread words of :func:`scan` rows (kept by checkpoint), with the stored spelling."""
-    listed = rows.where("kind = 'c'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n"))
-    unknown = rows.where("kind = 'w'").groupBy(F.col("a").alias("word")).agg(F.count("*").alias("n"))
-    frequent = listed.unionByName(unknown.where(f"n >= {MIN_TARGET}"))
-    pairs = rows.where("kind = 'h'").select("a", "b").distinct().select("a", "b", F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphenated"))
-    vocabulary = listed.unionByName(unknown).groupBy("word").agg(F.sum("n").alias("n"))
-    pairs = pairs.join(vocabulary.select(F.col("word").alias("joined"), F.col("n").alias("n1")), "joined", "left")
-    pairs = pairs.join(vocabulary.select(F.col("word").alias("hyphenated"), F.col("n").alias("n2")), "hyphenated", "left")
-    pairs = pairs.na.fill(0, ["n1", "n2"])
-    # The more frequent form is the word; it is rare, too, if a confusion leads to a far more frequent one.
+    listed = rows.where("rec_key is null").select(F.explode("listed").alias("x")).groupBy(F.col("x.word").alias("word")).agg(F.sum("x.n").alias("n"))
+    words = rows.select("src_table", "rec_key", F.explode("words").alias("word"))
+    vocabulary = cut(listed.withColumn("listed", F.lit(True)).unionByName(words.groupBy("word").agg(F.count("*").alias("n")).withColumn("listed", F.lit(False))))
+    divided = rows.select("src_table", "rec_key", F.explode("divided").alias("d")).select("src_table", "rec_key", "d.a", "d.b")
+    pairs = divided.groupBy("a", "b").agg(F.count("*").alias("seen")).select("a", "b", F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphenated"))
+    counts = vocabulary.groupBy("word").agg(F.sum("n").alias("n"))
+    pairs = pairs.join(counts.select(F.col("word").alias("joined"), F.col("n").alias("n1")), "joined", "left")
+    pairs = cut(pairs.join(counts.select(F.col("word").alias("hyphenated"), F.col("n").alias("n2")), "hyphenated", "left").na.fill(0, ["n1", "n2"]))
+    # A divided word is rare, too, if a confusion leads to a far more frequent one.
     forms = pairs.select(F.col("joined").alias("word"), F.col("n1").alias("n")).unionByName(pairs.where("n2 >= n1").select(F.col("hyphenated").alias("word"), F.col("n2").alias("n")))
-    rare = unknown.unionByName(forms).groupBy("word").agg(F.max("n").alias("n"))
-    fixed = corrections(rare, frequent)
+    rare = vocabulary.where("not listed").select("word", "n").unionByName(forms).groupBy("word").agg(F.max("n").alias("n"))
+    fixed = small(corrections(rare, vocabulary.where(f"listed or n >= {MIN_TARGET}").select("word", "n")))
     fix1 = fixed.select(F.col("word").alias("joined"), F.col("target").alias("t1"))
     fix2 = fixed.select(F.col("word").alias("hyphenated"), F.col("target").alias("t2"))
     pairs = pairs.join(fix1, "joined", "left").join(fix2, "hyphenated", "left")
-    pairs = pairs.withColumn(
-        "value",
-        F.when(F.col("n2") > F.col("n1"), F.coalesce("t2", "hyphenated")).when(F.col("n1") > 0, F.coalesce("t1", "joined")).otherwise(F.coalesce("t1", "t2", "joined")),
-    ).withColumn("bent", F.expr("value = t1 or value = t2"))
-    divided = rows.where("kind = 'h'").select("src_table", "rec_key", "a", "b").join(pairs.select("a", "b", "value", "bent"), ["a", "b"])
-    stored = F.concat_ws("\n", "a", "b")
-    hyphen = divided.select("src_table", "rec_key", F.lit("hyphen").alias("noise"), "value", stored.alias("stored"))
-    bent = divided.where("bent").select("src_table", "rec_key", F.lit("misread").alias("noise"), "value", stored.alias("stored"))
-    misread = rows.where("kind = 'w'").select("src_table", "rec_key", F.col("a").alias("word")).join(fixed, "word")
-    misread = misread.select("src_table", "rec_key", F.lit("misread").alias("noise"), F.col("target").alias("value"), F.col("word").alias("stored"))
-    return hyphen.unionByName(bent).unionByName(misread)
+    value = F.when(F.col("n2") > F.col("n1"), F.coalesce("t2", "hyphenated")).when(F.col("n1") > 0, F.coalesce("t1", "joined")).otherwise(F.coalesce("t1", "t2", "joined"))
+    pairs = small(pairs.select("a", "b", value.alias("value"), "t1", "t2").select("a", "b", "value", F.expr("coalesce(value = t1, false) or coalesce(value = t2, false)").alias("bent")))
+    # One row per noise: a divided word that was also misread is both.
+    kinds = F.explode(F.expr("if(bent, array('hyphen', 'misread'), array('hyphen'))")).alias("noise")
+    found = divided.join(pairs, ["a", "b"]).select("src_table", "rec_key", kinds, "value", F.concat_ws("\n", "a", "b").alias("stored"))
+    misread = words.join(fixed, "word").select("src_table", "rec_key", F.lit("misread").alias("noise"), F.col("target").alias("value"), F.col("word").alias("stored"))
+    return found.unionByName(misread)
 
 
 NUMBER = re.compile(r"\W*(?:(page|seite|pagina|página|pág|p|s)\b\.?)?\W*(\d{1,5}|[ivxlc]{1,7})\W*", re.I)
@@ -282,7 +298,7 @@ def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
 
 def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]]:
     """(rec_key, noise, value) of the edge lines of one page, judged together."""
-    lines = sorted(lines, key=lambda x: x["place"])
+    lines = sorted({(x["place"], x["rec_key"]): x for x in lines}.values(), key=lambda x: x["place"])
     found = [
         [x["rec_key"], edge_kind(x["text"], x["title"], page, x["place"], x["count"], x["kind"], x["repeated"] is True), x["text"], x["place"], x["kind"]] for x in lines
     ]
@@ -313,7 +329,7 @@ def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]
 def element_edges(df: DataFrame) -> DataFrame:
     """Edge lines of element tables: the first three and last two elements of each page by ``seq``."""
     extent = df.groupBy("run_id", "page").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    short = df.where((F.length("text") <= EDGE_CHARS) & ~F.col("text").contains("\n"))
+    short = df.where((F.length("text") <= EDGE_CHARS) & ~F.col("text").contains("\n") & ~F.col("text").rlike(SENTENCE_END))
     near = short.join(extent, ["run_id", "page"]).where("seq - lo <= 2 or hi - seq <= 1")
     return near.select(
         F.lit("element").alias("src_table"), F.col("element_key").cast("long").alias("rec_key"), "run_id", "book_id", "page", "text",
@@ -323,10 +339,7 @@ def element_edges(df: DataFrame) -> DataFrame:
 
 def page_edges(rows: DataFrame) -> DataFrame:
     """Edge lines of pages from :func:`scan` rows."""
-    part = F.split("b", "/")
-    return rows.where("kind = 'e'").select(
-        "src_table", "rec_key", "run_id", "book_id", "page", F.col("a").alias("text"), part[0].cast("int").alias("place"), part[1].cast("int").alias("count"), part[2].alias("kind")
-    )
+    return rows.select("src_table", "rec_key", "run_id", "book_id", "page", F.explode("edges").alias("e")).select("src_table", "rec_key", "run_id", "book_id", "page", "e.*")
 
 
 def repair(df: DataFrame, src: str, key: str, text: str, noise: DataFrame, html: bool) -> DataFrame:
