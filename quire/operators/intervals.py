@@ -43,10 +43,14 @@ def merge_intervals(df: DataFrame, keys: list[str], low: str, high: str, width:
     pieces = pieces.withColumn("isle", F.sum("fresh").over(inside))
     local = pieces.groupBy(*keys, "sh", "isle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("isle")
 
+    # Running number of intervals that cover a shard whole, at every shard with a piece or a change.
     run = Window.partitionBy(*keys).orderBy("sh")
-    covered = cells.where("d <> 0").groupBy(*keys, "sh").agg(F.sum("d").alias("d"))
-    covered = covered.select(*keys, F.col("sh"), F.sum("d").over(run).alias("c"), F.lead("sh").over(run).alias("nx")).where("c > 0")
-    whole = covered.select(*keys, "sh", F.expr(f"sh * {width}").alias("lo"), F.expr(f"nx * {width} - 1").alias("hi"))
+    shards = cells.groupBy(*keys, "sh").agg(F.sum("d").alias("d")).withColumn("c", F.sum("d").over(run))
+    changes = shards.where("d <> 0").select(*keys, "sh", "c", F.lead("sh").over(run).alias("nx")).where("c > 0")
+    whole = changes.select(*keys, "sh", F.expr(f"sh * {width}").alias("lo"), F.expr(f"nx * {width} - 1").alias("hi"))
+    # Pieces inside a covered shard add nothing.
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*keys, "sh")]
+    local = local.alias("l").join(shards.where("c > 0").select(*keys, "sh").alias("r"), same, "left_anti")
 
     along = Window.partitionBy(*keys).orderBy("lo")
     at_edge = f"pmod(lo, {width}) = 0 or pmod(hi, {width}) = {width - 1}"
