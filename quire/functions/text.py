@@ -52,7 +52,7 @@ def corruption_score(c: Column) -> Column:
 
 
 def lines_of(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.regexp_replace(c, "\\r", ""), "\\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.regexp_replace(c, "\\r", ""), "\\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def duplicate_line_share(c: Column) -> Column:
