@@ -61,9 +61,9 @@ WRAP = re.compile(r"[-¬][^\S\n]*\n\s*")
 MARKS = frozenset("-*•–‣◦▪o(0123456789")
 
 
-def is_running_text(text: str, words: int, known: int) -> bool:
-    """Whether a text is prose to repair: known words among its words, and no list or table by its lines."""
-    if 6 * known < words:
+def is_running_text(text: str, words: int, distinct: int, known: int) -> bool:
+    """Whether a text is prose to repair: known words among its distinct words, and no list or table by its lines."""
+    if 6 * known < distinct:
         return False
     lines = text.count("\n") + 1
     if lines >= 3 and words <= 4.5 * lines and len(quality.CLOSED.findall(text)) <= 0.2 * lines:
@@ -73,7 +73,7 @@ def is_running_text(text: str, words: int, known: int) -> bool:
         shaped += len(quality.LEADER.findall(text))
     if lines > 1 and text[-1].isdigit():
         shaped += len(quality.LOCATORS.findall(text))
-    if shaped >= 0.6 * lines and (lines > 1 or 2 * known < words or ".." in text or text[0] in "-*•–"):
+    if shaped >= 0.6 * lines and (lines > 1 or 2 * known < distinct or ".." in text or text[0] in "-*•–"):
         return False
     if "|" in text or "\t" in text or "  " in text or ";" in text:
         return len(quality.CELLS.findall(text)) < 0.6 * lines or quality.STATS.search(text) is not None
@@ -106,8 +106,7 @@ class Reader:
             return set(), set()
         distinct = set(words)
         there = distinct & self.known
-        good = sum(map(there.__contains__, words))
-        if not is_running_text(text, len(words), good):
+        if not is_running_text(text, len(words), len(distinct), len(there)):
             return set(), set()
         self.counts.update(there)
         return {w for w in distinct - there if is_word(w)}, divided
@@ -245,12 +244,12 @@ def letters(s: str) -> str:
     return " ".join(re.findall(r"[^\W\d_]+", s.lower()))
 
 
-def edge_kind(text: str, title: str | None, page: int | None, place: int, count: int, kind: str, repeated: bool) -> str | None:
-    """header, pageno or none for one line; ``place`` of ``count`` blocks, ``kind`` of block (t where markup is unknown)."""
+def edge_kind(text: str, want: str, page: int | None, place: int, count: int, kind: str, repeated: bool) -> str | None:
+    """header, pageno or none for one line; ``want``: letters of the title, ``place`` of ``count`` blocks, ``kind`` of block (t where markup is unknown)."""
     top, last = place <= 1, place == count - 1
-    if RANGE.fullmatch(text):
+    if text[:1].isdigit() and RANGE.fullmatch(text):
         return "header" if (top or kind == "header") and kind not in ("h", "b") else None
-    number, marked = number_line(text)
+    number, marked = number_line(text) if len(text) <= 16 else (None, False)
     if number is not None:
         if kind in ("h", "b") or not (top or last or kind in ("header", "footer")):
             return None
@@ -259,10 +258,9 @@ def edge_kind(text: str, title: str | None, page: int | None, place: int, count:
         return "pageno" if number == page else None
     if kind == "h" or not (place <= 2 or last or kind in ("header", "footer")):
         return None
-    own = letters(text)
-    if title and own and len(own) > 3:
-        want = letters(title)
-        if own == want or (abs(len(own) - len(want)) <= 3 and difflib.SequenceMatcher(None, own, want, autojunk=False).ratio() >= 0.85):
+    if want and abs(len(text) - len(want)) <= 16:
+        own = letters(text)
+        if own == want or (len(own) > 3 and abs(len(own) - len(want)) <= 3 and difflib.SequenceMatcher(None, own, want, autojunk=False).ratio() >= 0.85):
             return "header"
     if kind == "header":
         return "header"
@@ -299,8 +297,9 @@ def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
 def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]]:
     """(rec_key, noise, value) of the edge lines of one page, judged together."""
     lines = sorted({(x["place"], x["rec_key"]): x for x in lines}.values(), key=lambda x: x["place"])
+    want = letters(lines[0]["title"] or "")
     found = [
-        [x["rec_key"], edge_kind(x["text"], x["title"], page, x["place"], x["count"], x["kind"], x["repeated"] is True), x["text"], x["place"], x["kind"]] for x in lines
+        [x["rec_key"], edge_kind(x["text"], want, page, x["place"], x["count"], x["kind"], x["repeated"] is True), x["text"], x["place"], x["kind"]] for x in lines
     ]
     heads = {x[3] for x in found if x[1] == "header"}
     # A bare number at the top is a section's own if the page ends with its number or sections could have come so far.
