@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import difflib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -109,57 +111,79 @@ class Reader:
         if not is_running_text(text, len(words), len(distinct), len(there)):
             return set(), set()
         self.counts.update(there)
-        return {w for w in distinct - there if is_word(w)}, divided
+        return distinct - there, divided
 
 
 SCHEMA = (
-    "src_table string, rec_key long, words array<string>, divided array<struct<a:string,b:string>>, edges array<struct<text:string,place:int,count:int,kind:string>>, "
-    "run_id string, book_id string, page int, listed array<struct<word:string,n:bigint>>"
+    "kind string, src_table string, a string, b string, keys array<bigint>, n bigint, rec_key bigint, run_id string, book_id string, page int, "
+    "edges array<struct<text:string,place:int,count:int,kind:string>>"
 )
-PAIRS = pa.list_(pa.struct([("a", pa.string()), ("b", pa.string())]))
 EDGES = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32()), ("count", pa.int32()), ("kind", pa.string())]))
-LISTED = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 TYPES = {
-    "src_table": pa.string(), "rec_key": pa.int64(), "words": pa.list_(pa.string()), "divided": PAIRS, "edges": EDGES,
-    "run_id": pa.string(), "book_id": pa.string(), "page": pa.int32(), "listed": LISTED,
+    "kind": pa.string(), "src_table": pa.string(), "a": pa.string(), "b": pa.string(), "keys": pa.list_(pa.int64()), "n": pa.int64(),
+    "rec_key": pa.int64(), "run_id": pa.string(), "book_id": pa.string(), "page": pa.int32(), "edges": EDGES,
 }
 
 
-def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], html: bool) -> DataFrame:
-    """One narrow pass, one row per record with something to tell: its unknown ``words``, ``divided`` words and, for pages, ``edges``.
+def as_batch(size: int, **columns) -> pa.RecordBatch:
+    """A batch of SCHEMA with the given columns (lists or arrays; a string stands for all rows), the others null."""
+    arrays = []
+    for name, kind in TYPES.items():
+        v = columns.get(name)
+        arrays.append(pa.nulls(size, kind) if v is None else pa.array([v] * size, kind) if isinstance(v, str) else v if isinstance(v, pa.Array) else pa.array(v, kind))
+    return pa.RecordBatch.from_arrays(arrays, names=list(TYPES))
 
-    The last row of a task, without key, has the counts of the listed words.
-    """
+
+def index_rows(kind: str, src: str, index: dict) -> pa.RecordBatch:
+    """An inverted index of one batch as rows: entry (a word or a pair) and the keys of its records."""
+    entries, lists = list(index), list(index.values())
+    offsets = np.zeros(len(lists) + 1, dtype=np.int32)
+    np.cumsum([len(x) for x in lists], out=offsets[1:])
+    keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(lists)), pa.int64()))
+    first, second = (entries, None) if kind == "w" else ([e[0] for e in entries], [e[1] for e in entries])
+    return as_batch(len(entries), kind=kind, src_table=src, a=first, b=second, keys=keys)
+
+
+def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], html: bool) -> DataFrame:
+    """One narrow pass. Per batch an inverted index of its unknown words (kind w: word ``a``, ``keys``) and its divided words
+    (h: ``a``, ``b``, ``keys``), for pages the edge lines (e: one row per page), per task the counts of listed words (c: ``a``, ``n``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(known)
         for batch in batches:
-            got: dict[str, list] = {n: [] for n in TYPES}
+            words: dict[str, list[int]] = defaultdict(list)
+            pairs: dict[tuple[str, str], list[int]] = defaultdict(list)
+            pages: list[tuple] = []
             for k, t, run_id, book_id, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not t:
                     continue
-                edges = []
                 if html:
                     parts = pagetext.units(t)
-                    words, divided = set(), set()
+                    got: set[str] = set()
+                    cut_: set[tuple[str, str]] = set()
                     for u in parts:
                         if u.kind not in ("li", "tr"):
                             w, h = reader.read(u.text)
-                            words |= w
-                            divided |= h
-                    n = len(parts)
+                            got |= w
+                            cut_ |= h
+                    n, edges = len(parts), []
                     for place in {0, 1, 2, n - 2, n - 1}:
                         if 0 <= place < n and len(line := parts[place].text) <= EDGE_CHARS and "\n" not in line and not OPEN_END.search(line):
                             edges.append({"text": line, "place": place, "count": n, "kind": parts[place].kind})
+                    if edges:
+                        pages.append((k, run_id, book_id, page, edges))
                 else:
-                    words, divided = reader.read(t)
-                if words or divided or edges:
-                    pairs = [{"a": a, "b": b} for a, b in divided]
-                    for name, v in zip(TYPES, (src, k, list(words), pairs, edges, run_id, book_id, page, None), strict=True):
-                        got[name].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(got[n], t) for n, t in TYPES.items()], names=list(TYPES))
-        listed = [{"word": w, "n": n} for w, n in reader.counts.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([listed if n == "listed" else None], t) for n, t in TYPES.items()], names=list(TYPES))
+                    got, cut_ = reader.read(t)
+                for w in got:
+                    words[w].append(k)
+                for h in cut_:
+                    pairs[h].append(k)
+            yield index_rows("w", src, {w: v for w, v in words.items() if is_word(w)})
+            yield index_rows("h", src, pairs)
+            if pages:
+                keys, runs, books, numbers, edges = zip(*pages, strict=True)
+                yield as_batch(len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=edges)
+        yield as_batch(len(reader.counts), kind="c", src_table=src, a=list(reader.counts), n=list(reader.counts.values()))
 
     return df.select(F.col(key).cast("long").alias("k"), text, "run_id", "book_id", "page").mapInArrow(run, SCHEMA)
 
@@ -192,11 +216,11 @@ def small(df: DataFrame) -> DataFrame:
 
 def word_noise(rows: DataFrame) -> DataFrame:
     """(src_table, rec_key, noise, value, stored): divided and misread words of :func:`scan` rows (kept by checkpoint), with the stored spelling."""
-    listed = rows.where("rec_key is null").select(F.explode("listed").alias("x")).groupBy(F.col("x.word").alias("word")).agg(F.sum("x.n").alias("n"))
-    words = rows.select("src_table", "rec_key", F.explode("words").alias("word"))
-    vocabulary = cut(listed.withColumn("listed", F.lit(True)).unionByName(words.groupBy("word").agg(F.count("*").alias("n")).withColumn("listed", F.lit(False))))
-    divided = rows.select("src_table", "rec_key", F.explode("divided").alias("d")).select("src_table", "rec_key", "d.a", "d.b")
-    pairs = divided.groupBy("a", "b").agg(F.count("*").alias("seen")).select("a", "b", F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphenated"))
+    listed = rows.where("kind = 'c'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n"))
+    words = rows.where("kind = 'w'").select("src_table", F.col("a").alias("word"), "keys")
+    vocabulary = cut(listed.withColumn("listed", F.lit(True)).unionByName(words.groupBy("word").agg(F.sum(F.size("keys")).alias("n")).withColumn("listed", F.lit(False))))
+    divided = rows.where("kind = 'h'").select("src_table", "a", "b", "keys")
+    pairs = divided.select("a", "b").distinct().select("a", "b", F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphenated"))
     counts = vocabulary.groupBy("word").agg(F.sum("n").alias("n"))
     pairs = pairs.join(counts.select(F.col("word").alias("joined"), F.col("n").alias("n1")), "joined", "left")
     pairs = cut(pairs.join(counts.select(F.col("word").alias("hyphenated"), F.col("n").alias("n2")), "hyphenated", "left").na.fill(0, ["n1", "n2"]))
@@ -211,9 +235,10 @@ def word_noise(rows: DataFrame) -> DataFrame:
     pairs = small(pairs.select("a", "b", value.alias("value"), "t1", "t2").select("a", "b", "value", F.expr("coalesce(value = t1, false) or coalesce(value = t2, false)").alias("bent")))
     # One row per noise: a divided word that was also misread is both.
     kinds = F.explode(F.expr("if(bent, array('hyphen', 'misread'), array('hyphen'))")).alias("noise")
-    found = divided.join(pairs, ["a", "b"]).select("src_table", "rec_key", kinds, "value", F.concat_ws("\n", "a", "b").alias("stored"))
-    misread = words.join(fixed, "word").select("src_table", "rec_key", F.lit("misread").alias("noise"), F.col("target").alias("value"), F.col("word").alias("stored"))
-    return found.unionByName(misread)
+    found = divided.join(pairs, ["a", "b"]).select("src_table", "keys", kinds, "value", F.concat_ws("\n", "a", "b").alias("stored"))
+    misread = words.join(fixed, "word").select("src_table", "keys", F.lit("misread").alias("noise"), F.col("target").alias("value"), F.col("word").alias("stored"))
+    both = found.unionByName(misread)
+    return both.select("src_table", F.explode("keys").alias("rec_key"), "noise", "value", "stored")
 
 
 NUMBER = re.compile(r"\W*(?:(page|seite|pagina|página|pág|p|s)\b\.?)?\W*(\d{1,5}|[ivxlc]{1,7})\W*", re.I)
@@ -338,7 +363,7 @@ def element_edges(df: DataFrame) -> DataFrame:
 
 def page_edges(rows: DataFrame) -> DataFrame:
     """Edge lines of pages from :func:`scan` rows."""
-    return rows.select("src_table", "rec_key", "run_id", "book_id", "page", F.explode("edges").alias("e")).select("src_table", "rec_key", "run_id", "book_id", "page", "e.*")
+    return rows.where("kind = 'e'").select("src_table", "rec_key", "run_id", "book_id", "page", F.explode("edges").alias("e")).select("src_table", "rec_key", "run_id", "book_id", "page", "e.*")
 
 
 def repair(df: DataFrame, src: str, key: str, text: str, noise: DataFrame, html: bool) -> DataFrame:
