@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from quire.plans import problems, problems_sql, reference, reference2, reference2_sql, reference3, reference3_sql, reference_sql
+from quire.plans import problems, problems_sql, reference, reference2, reference2_sql, reference3, reference3_sql, reference4, reference4_sql, reference_sql
 
 FLAGSHIP = "run_health"
 
 
 def queries() -> dict:
-    return {**problems.QUERIES, **reference.QUERIES, **reference2.QUERIES, **reference3.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES, **reference2.QUERIES, **reference3.QUERIES, **reference4.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**problems_sql.SQL, **reference_sql.SQL, **reference2_sql.SQL, **reference3_sql.SQL}
+    return {**problems_sql.SQL, **reference_sql.SQL, **reference2_sql.SQL, **reference3_sql.SQL, **reference4_sql.SQL}
