@@ -292,6 +292,15 @@ def edge_kind(text: str, want: str, page: int | None, place: int, count: int, ki
     return "header" if repeated and top and not re.search(r"[.!?,;:]$", text) else None
 
 
+#: A number with signs or a short word around it, or a range of numbers.
+NUMBER_LIKE = r"^[^\p{L}0-9]*(\p{L}{1,6}\.?)?[^\p{L}0-9]*([0-9]{1,5}|[ivxlc]{1,7})[^\p{L}0-9]*([0-9]{1,5})?[^\p{L}0-9]*$"
+
+
+def letters_of(c: str) -> Column:
+    """Words of letters in lower case, one space between."""
+    return F.trim(F.lower(F.regexp_replace(c, r"[^\p{L}]+", " ")))
+
+
 def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
     """(src_table, rec_key, noise, value) of edge lines: src_table, rec_key, run_id, book_id, page, text, place, count, kind.
 
@@ -304,6 +313,9 @@ def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
     extent = lines.select("src_table", "run_id", "page").distinct().groupBy("src_table", "run_id").agg(F.count("*").alias("pages"))
     often = often.join(extent, ["src_table", "run_id"]).where("n >= 4 and 4 * n >= pages").select("src_table", "run_id", "key", F.lit(True).alias("repeated"))
     lines = lines.join(often, ["src_table", "run_id", "key"], "left").join(books.select("book_id", "title").dropDuplicates(["book_id"]), "book_id", "left")
+    # Only these can be a head or a number; the rest needs no further look.
+    near = F.abs(F.length("key") - F.length(letters_of("title"))) <= 3
+    lines = lines.where(F.col("text").rlike(NUMBER_LIKE) | near | F.col("repeated") | F.col("kind").isin("header", "footer"))
     fields = ["rec_key", "place", "count", "kind", "text", "title", "repeated"]
     pages = lines.groupBy("src_table", "run_id", "page").agg(F.collect_list(F.struct(*fields)).alias("lines"))
 
