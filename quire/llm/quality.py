@@ -8,7 +8,7 @@ labels, and every text gets its posterior over the types. The votes of a text fo
 short pattern; EM runs on pattern counts, whose number is bounded by the vote
 alphabet, not by the corpus.
 
-Defined results: null or empty text has no type; a page's blocks are judged one by
+Defined results: null or empty text and a bare number have no type; a page's blocks are judged one by
 one and its type is that of most of its characters, running heads and page numbers
 aside; delivered copies count once.
 """
@@ -70,7 +70,7 @@ def is_odd(word: str) -> bool:
     """A word that no language would write: digits inside, no vowel, or a case jumble."""
     core = word.strip(".,;:!?'\"()[]{}_-")
     if not core:
-        return True
+        return len(word) > 2
     if core.isalpha():
         if len(core) == 1:
             return False
@@ -136,22 +136,25 @@ def stats(text: str, kinds: Words) -> Stats:
 
 def votes(s: Stats) -> str:
     """One character per labelling function: p, l, t, j, or a dot where it abstains."""
-    shaped = s.marker_lines >= 0.6 or s.index_lines >= 0.6 or s.cell_lines >= 0.6
+    sentence = s.common_share >= 0.2 and s.closed_lines >= 0.99  # semicolons part its clauses, not cells
+    cells = 0.0 if sentence else s.cell_lines
+    index = s.index_lines >= 0.6 and s.common_share < 0.2
+    shaped = s.marker_lines >= 0.6 or index or cells >= 0.6
     bare = not shaped and not s.score_lines
     per_line = s.words / s.lines
     terse = s.lines >= 3 and per_line <= 3 and s.closed_lines <= 0.2
     return "".join(
         (
-            "p" if s.common_share >= 0.2 and not terse else "j" if s.common_share < 0.03 and s.words >= 5 and s.lines == 1 and bare else ".",
+            "p" if s.common_share >= 0.2 and not terse else "j" if s.common_share < 0.03 and s.words >= 5 and bare and (s.odd_words >= 0.3 or s.distinct_share <= 0.5) else ".",
             "p" if s.closed_lines >= 0.99 and s.common_share >= 0.1 else ".",
             "l" if s.marker_lines >= 0.6 and s.words >= 2 and (s.lines > 1 or s.common_share < 0.2) else ".",
-            "l" if s.index_lines >= 0.6 and s.cell_lines < 0.6 and s.common_share < 0.2 else ".",
-            "t" if s.cell_lines >= 0.6 else ".",
-            "t" if s.digit_ratio >= 0.08 and s.cell_lines >= 0.4 else ".",
+            "l" if index and cells < 0.6 else ".",
+            "t" if cells >= 0.6 else ".",
+            "t" if s.digit_ratio >= 0.08 and cells >= 0.4 else ".",
             "j" if s.symbol_ratio >= 0.15 and bare else ".",
             "j" if s.odd_words >= 0.35 and bare else ".",
             "j" if bare and (s.words >= 6 and s.distinct_share <= 0.25 or s.mean_word_length > 20 and s.chars >= 40) else ".",
-            "p" if s.score_lines or (bare and not terse and s.odd_words < 0.2 and s.distinct_share > 0.4 and s.words >= 3 and (s.common_share >= 0.1 or s.lines == 1)) else ".",
+            "p" if s.score_lines or (bare and not terse and s.odd_words < 0.35 and s.distinct_share > 0.4 and (s.common_share >= 0.1 or s.lines == 1 or per_line >= 5)) else ".",
             "l" if bare and s.lines >= 3 and per_line <= 4.5 and s.closed_lines <= 0.2 and (terse or s.common_share < 0.2) and s.odd_words < 0.2 else ".",
             "p" if s.score_lines or (bare and s.lines == 1 and s.words <= 4 and s.chars <= 40) else ".",
         )
@@ -218,7 +221,7 @@ def plain(text: str) -> str:
     return text.strip()
 
 
-PAGE_NUMBER = re.compile(r"\W*(?:page|seite|página|p\.)?\W*[0-9ivxlc]+\W*", re.I)
+PAGE_NUMBER = re.compile(r"\W*(?:page|seite|página|p\.)?\W*[0-9ivxlc]+\W*(?:[0-9]+\W*)?", re.I)
 
 
 def is_edge(kind: str, text: str, first_or_last: bool) -> bool:
@@ -255,7 +258,7 @@ def vote_rows(df: DataFrame, src: str, key: str, text: str, common: frozenset[st
                 found = []
                 for x in body:
                     x = plain(x)
-                    if x:
+                    if x and not (len(x) <= 16 and PAGE_NUMBER.fullmatch(x)):  # a bare number is no text
                         s = stats(x, kinds)
                         found.append({"votes": votes(s), "chars": s.chars})
                 keys.append(k), chars.append(size), units.append(found)
