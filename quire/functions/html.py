@@ -102,3 +102,128 @@ def parse_blocks(c: Column) -> Column:
         return s.map(blocks_of)
 
     return run(c)
+
+
+# Elements that cleaned markup keeps.
+KEPT_TAGS = frozenset("p h1 h2 h3 h4 ul ol li dl dt dd table thead tbody tr td th em strong b i br a blockquote".split())
+
+
+class _Tables(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.tables: list[list[list[str]]] = []
+        self.broken = True  # something stood between two tables
+        self.joined: list[bool] = []
+        self.cell: list[str] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.tables.append([])
+            self.joined.append(not self.broken)
+            self.broken = False
+        elif tag == "tr" and self.tables:
+            self.tables[-1].append([])
+        elif tag in ("td", "th") and self.tables:
+            if not self.tables[-1]:
+                self.tables[-1].append([])
+            self.tables[-1][-1].append("")
+            self.cell = []
+        elif tag in ("h1", "h2", "h3", "p", "ul", "ol", "img"):
+            self.broken = True
+
+    def handle_endtag(self, tag):
+        if tag in ("td", "th"):
+            self.cell = None
+
+    def handle_data(self, data):
+        if self.cell is not None and self.tables and self.tables[-1] and self.tables[-1][-1]:
+            self.cell.append(data)
+            self.tables[-1][-1][-1] = " ".join("".join(self.cell).split())
+        elif data.strip():
+            self.broken = True
+
+
+def tables_of(html: str | None, merge: bool = True) -> list[list[list[str]]]:
+    """Tables as rows of cells. With ``merge`` a table that follows another with nothing between and equal width goes on with it; a repeated head row is left out."""
+    if not html or "<t" not in html:
+        return []
+    p = _Tables()
+    p.feed(html)
+    p.close()
+    out: list[list[list[str]]] = []
+    for rows, goes_on in zip(p.tables, p.joined, strict=True):
+        rows = [r for r in rows if r]
+        if merge and goes_on and out and rows and out[-1] and len(rows[0]) == len(out[-1][0]):
+            out[-1] += rows[1:] if rows[0] == out[-1][0] else rows
+        else:
+            out.append(rows)
+    return out
+
+
+def continued_rows(rows: list[list[str]]) -> list[list[str]]:
+    """Rows whose first cell is empty go on with the row before, cell by cell."""
+    out: list[list[str]] = []
+    for r in rows:
+        if out and r and not r[0] and any(r) and len(r) <= len(out[-1]):
+            out[-1] = [" ".join(x for x in (a, b) if x) for a, b in zip(out[-1], [*r, *[""] * (len(out[-1]) - len(r))])]
+        else:
+            out.append(list(r))
+    return out
+
+
+class _Clean(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=False)
+        self.parts: list[str] = []
+        self.silent = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.silent += 1
+        elif tag in KEPT_TAGS:
+            href = dict(attrs).get("href") if tag == "a" else None
+            self.parts.append(f'<{tag} href="{href}">' if href and href.startswith("#") else f"<{tag}>")
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.silent = max(0, self.silent - 1)
+        elif tag in KEPT_TAGS and tag != "br":
+            self.parts.append(f"</{tag}>")
+
+    def handle_data(self, data):
+        if not self.silent:
+            self.parts.append(data)
+
+    def handle_entityref(self, name):
+        if not self.silent:
+            self.parts.append(f"&{name};")
+
+    def handle_charref(self, name):
+        if not self.silent:
+            self.parts.append(f"&#{name};")
+
+
+def cleaned(html: str | None) -> str | None:
+    """Markup with kept elements only; links stay where they point into the page."""
+    if html is None:
+        return None
+    p = _Clean()
+    p.feed(html)
+    p.close()
+    return "".join(p.parts)
+
+
+def parse_tables(c: Column) -> Column:
+    @F.pandas_udf("array<array<array<string>>>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda h: [continued_rows(t) for t in tables_of(h)])
+
+    return run(c)
+
+
+def sanitize(c: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(cleaned)
+
+    return run(c)

@@ -23,7 +23,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     at = "coalesce(try_variant_get(j, '$.combat', 'variant'), try_variant_get(j, '$.data.portion.combat', 'variant'), try_variant_get(j, '$.portion.combat', 'variant'), try_variant_get(j, '$.data.combat', 'variant'))"
     raw = raw.select("parent_key", F.expr(at).alias("fights"))
     raw = raw.select("parent_key", F.expr(f"""transform({ne.entries_sql('fights')}, f -> named_struct('pos', f.pos, 'in',
-        transform(case when try_variant_get(f.v, '$.enemies', 'variant') is not null then {ne.entries_sql("try_variant_get(f.v, '$.enemies', 'variant')")}
+        transform(case when coalesce(schema_of_variant(try_variant_get(f.v, '$.enemies', 'variant')), 'VOID') <> 'VOID' then {ne.entries_sql("try_variant_get(f.v, '$.enemies', 'variant')")}
                        when try_variant_get(f.v, '$.enemy', 'variant') is not null then array(named_struct('pos', 0L, 'v', f.v)) end,
                   e -> named_struct('pos', e.pos, 'there', case when {ne.has_fields_sql('e.v')} then true end))))""").alias("f"))
     fights = ne.explode_arrow(raw, "f", ["__p"], "v").select("parent_key", F.col("v.pos").alias("pos1"), F.col("v.in").alias("e"))

@@ -84,3 +84,27 @@ def test_bundle_and_engine(spark, tmp_path):
     (tmp_path / "scans" / "a.png").write_bytes(b"abc")
     lines = engines.read_with_engine(spark, str(tmp_path / "scans"), lambda f: f.assign(page=1, line_no=0, text=f["content"].map(lambda b: bytes(b).decode()), confidence=1.0)[["path", "page", "line_no", "text", "confidence"]])
     assert [r.text for r in lines.collect()] == ["abc"]
+
+
+def test_tables_of_pages():
+    from quire.functions import html as ht
+
+    one = "<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table>"
+    more = "<table><tr><th>A</th><th>B</th></tr><tr><td></td><td>x</td></tr></table>"
+    assert ht.tables_of(one + more) == [[["A", "B"], ["1", "2"], ["", "x"]]]
+    assert len(ht.tables_of(one + "<p>text</p>" + more)) == 2
+    assert ht.continued_rows([["1", "2"], ["", "x"]]) == [["1", "2 x"]]
+    assert ht.tables_of(None) == [] and ht.cleaned(None) is None
+    assert ht.cleaned('<div onclick="x"><script>bad()</script><p>a&amp;b <a href="#3">3</a><a href="http://x">y</a></p></div>') == '<p>a&amp;b <a href="#3">3</a><a>y</a></p>'
+
+
+def test_sections(spark):
+    from quire.operators import sections as se
+
+    df = spark.createDataFrame([(1, "Roll two dice, then roll 2d6+3 and turn to 9."), (2, None)], "k int, t string")
+    assert [(r.dice, r.plus) for r in se.dice_checks(df, "t").orderBy("place").collect()] == [(2, 0), (2, 3)]
+    items = spark.createDataFrame([("r", "brass key"), ("r", "Key"), ("r", "rope"), ("q", "key")], "run string, item string")
+    assert {(r.run, r.item) for r in se.longest_names(items, ["run"], "item").collect()} == {("r", "brass key"), ("r", "rope"), ("q", "key")}
+    low, high = se.expected_range(F.col("n"), F.col("p"))
+    rows = spark.createDataFrame([(0, "sections 1-350"), (12, None), (0, "9-2")], "n int, p string").select(low.alias("a"), high.alias("b")).collect()
+    assert [(r.a, r.b) for r in rows] == [(1, 350), (1, 12), (1, 400)]
