@@ -83,8 +83,8 @@ def is_running_text(text: str, words: int, distinct: int, known: int) -> bool:
 
 
 def is_word(w: str) -> bool:
-    """Words worth correcting: with letters, not only a number or a single letter."""
-    return len(w) > 2 and (w.isalpha() or (not w.isdigit() and any(map(str.isalpha, w))))
+    """Words worth correcting: with letters, no number and no single letter."""
+    return len(w) > 1 and (w.isalpha() or (not w.isdigit() and any(map(str.isalpha, w))))
 
 
 class Reader:
