@@ -118,18 +118,26 @@ def patterns() -> dict:
         "local": regex.compile(rf"{local}(?P<j>{_J})?$"),
         "domain": regex.compile(rf"{label}(?:\.{label})*\.[A-Za-z]{{2,}}"),
         "spelled": regex.compile(rf"{_J}{label}(?:{_J}{dot}{_J}{label})+"),
-        "digits": re.compile(r"\d[\d\s()./-]{5,}\d|\d{6}|[A-Z]\d\d[A-Z]\d\d"),
+        "digits": re.compile(r"\d(?:[()./ -]{0,3}(?:\s{1,3})?\d){5,}"),
+        "code": re.compile(r"[A-Z]\d\d[A-Z]\d\d"),
+        # Where an address can be at all: a number before a capital or a street word, or a street word of the other order.
+        "street": re.compile(rf"\d[a-z]?\s+(?:[A-ZÀ-Þ][\w'’.]*\s+){{1,4}}(?:{_STREETS})\b|\d[a-z]?\s+The\s+[A-ZÀ-Þ]|\d(?:\s+(?:bis|ter))?,?\s+(?:rue|avenue|av\.|bd\.|boulevard|chemin|place|quai|impasse|allée|route|cours|square)\s"),
         "address": regex.compile(address),
         "phone": regex.compile(rf"{edge}(?:{phone}){end}"),
         "sure_id": regex.compile(rf"{edge}(?:{sure_id}){end}"),
         "cued_id": regex.compile(rf"{edge}(?:{cued_id}){end}"),
         "cue": regex.compile(cue),
         "run": regex.compile(rf"(?<![\w'’.-]){token}(?:,?{_J}{token})+(?![\w’'-])"),
-        "word": regex.compile(r"(?<![\w@.+\-\[’'])\p{Ll}{2,}(?![\w@.+\-’'])"),
         "space": regex.compile(r"\s+"),
     }
 
 
+#: Without one of these a text has no email, and no address with the number behind the street.
+AT_SIGNS = ("@", "at]", "at)", "at}", "at>", "AT", "arroba", " dot", "\ndot")
+STREET_SIGNS = ("straße", "strasse", "str.", "weg ", "weg\n", "gasse", "platz", "allee", "ufer", "damm", "Am ", "Im ", "Zum ", "Zur ", "An der", "Auf der", "Am\n", "Calle", "C/", "Avda.", "Avenida", "Plaza", "Paseo", "Camino", "Ronda")
+PUNCTUATION = ".,;:!?\"“”„»«()¿¡…"
+
+
 def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
     """Emails, addresses, identity numbers and phones of a text, and the text with them blanked out."""
     p, found = patterns(), []
@@ -150,7 +158,7 @@ def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
         return take("phone")(m) if 9 <= n <= 15 else m.group(0)
 
     spans = []
-    for m in p["at"].finditer(text):
+    for m in p["at"].finditer(text) if any(x in text for x in AT_SIGNS) else ():
         low = max(0, m.start() - 80)
         left = p["local"].search(text, low, m.start())
         right = left and p["domain" if m.group(0) == "@" else "spelled"].match(text, m.end())
@@ -159,8 +167,10 @@ def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
     for a, b in reversed(spans):
         found.append(("email", text[a:b]))
         text = text[:a] + "\0" * (b - a) + text[b:]
-    text = p["address"].sub(take("address"), text)
-    if p["digits"].search(text):
+    digits = sum(map(text.count, "0123456789"))
+    if digits and (any(x in text for x in STREET_SIGNS) or p["street"].search(text)):
+        text = p["address"].sub(take("address"), text)
+    if digits >= 5 and (any(sum(map(str.isdigit, m)) >= 6 for m in p["digits"].findall(text)) or p["code"].search(text)):
         text = p["cued_id"].sub(take_cued, text)
         text = p["sure_id"].sub(take("id_number"), text)
         text = p["phone"].sub(take_phone, text)
@@ -183,7 +193,7 @@ def scan_text(df: DataFrame, key: str, text: str) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, words = patterns(), set()
+        p, words, seen = patterns(), set(), set()
         for batch in batches:
             kinds, keys, values = [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -195,12 +205,14 @@ def scan_text(df: DataFrame, key: str, text: str) -> DataFrame:
                 runs = dict.fromkeys(p["space"].sub(" ", m.group(0)) for m in p["run"].finditer(rest))
                 for value in runs:
                     kinds.append("run"), keys.append(k), values.append(value)
-                words.update(p["word"].findall(rest))
-            if len(words) > FLUSH_WORDS:
+                fresh = set(rest.split()) - seen
+                seen |= fresh
+                words.update(x for w in fresh if len(x := w.strip(PUNCTUATION)) > 1 and x.islower() and x.isalpha())
+            if len(seen) > FLUSH_WORDS:
                 kinds += ["word"] * len(words)
                 keys += [None] * len(words)
                 values += words
-                words = set()
+                words, seen = set(), set()
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(keys, batch.column(0).type), pa.array(values, pa.string())], names=["kind", key, "value"])
         if words:
             n = len(words)
