@@ -364,6 +364,7 @@ def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]
 
 def element_edges(df: DataFrame) -> DataFrame:
     """Edge lines of element tables: the first three and last two elements of each page by ``seq``."""
+    df = df.select("element_key", "run_id", "book_id", "page", "seq", "text")
     extent = df.groupBy("run_id", "page").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     short = df.where((F.length("text") <= EDGE_CHARS) & ~F.col("text").contains("\n") & ~F.col("text").rlike(SENTENCE_END))
     near = short.join(extent, ["run_id", "page"]).where("seq - lo <= 2 or hi - seq <= 1")
