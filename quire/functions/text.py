@@ -16,19 +16,21 @@ def strip_tags(c: Column) -> Column:
     return squash(F.regexp_replace(c, "<[^>]+>", " "))
 
 
-def ratio(c: Column, pattern: str) -> Column:
-    """Matches of a one-character pattern over the length; 0 for empty text."""
-    return F.round(F.regexp_count(c, F.lit(pattern)) / F.greatest(F.length(c), F.lit(1)), 4)
+_SETS = {"[A-Za-z]": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "[0-9]": "0123456789"}
 
 
-def word_lengths(c: Column) -> Column:
-    words = F.filter(F.split(squash(c), " "), lambda w: w != "")
-    return F.transform(words, F.length)
+def ratio(c: Column, pattern: str) -> Column:
+    """Matches of a one-character pattern over the length; 0 for empty text. Plain classes are counted by deletion, which is far cheaper than a regex."""
+    chars = _SETS.get(pattern)
+    n = F.length(c) - F.length(F.translate(c, chars, "")) if chars else F.regexp_count(c, F.lit(pattern))
+    return F.round(n / F.greatest(F.length(c), F.lit(1)), 4)
 
 
 def mean_word_length(c: Column) -> Column:
-    n = word_lengths(c)
-    return F.round(F.aggregate(n, F.lit(0), lambda a, x: a + x) / F.greatest(F.size(n), F.lit(1)), 4)
+    """Mean length of the words between white space; 0 without words."""
+    t = squash(c)
+    words = F.when(t == "", F.lit(0)).otherwise(F.length(t) - F.length(F.translate(t, " ", "")) + 1)
+    return F.round(F.length(F.translate(t, " ", "")) / F.greatest(words, F.lit(1)), 4)
 
 
 def garble_reasons(c: Column, short: int = 40, alpha: float = 0.5, digits: float = 0.3) -> Column:
