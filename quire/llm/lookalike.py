@@ -72,11 +72,21 @@ def tables():
     return plain, twin, soft_end, line_end, token, odd
 
 
+@lru_cache(maxsize=1)
+def mapped():
+    """Finds a character that step 1 changes; most accented texts have none."""
+    import re
+
+    return re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(tables()[0])) + "]").search
+
+
 def base_form(text: str) -> str:
     """Step 1 of the consistent form."""
     plain, _, soft_end, line_end, _, _ = tables()
     if not text.isascii():
-        text = unicodedata.normalize("NFC", soft_end.sub("-", text).translate(plain))
+        if mapped()(text):
+            text = soft_end.sub("-", text).translate(plain)
+        text = unicodedata.normalize("NFC", text)
     return line_end.sub("", text)
 
 
