@@ -68,7 +68,7 @@ def patterns() -> dict:
     import regex
 
     label = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
-    at, dot = r"(?:\[at\]|\(at\)|\{at\}|<at>|AT|at|arroba)", r"(?:\[dot\]|\(dot\)|\{dot\}|<dot>|DOT|dot|punkt|punto|point)"
+    dot = r"(?:\[dot\]|\(dot\)|\{dot\}|<dot>|DOT|dot|punkt|punto|point)"
     local = r"(?<![\w.+@-])[A-Za-z0-9][A-Za-z0-9._+%-]*"
     gap = rf"(?:[-./]|{_J})"
     phone = "|".join(
@@ -100,28 +100,32 @@ def patterns() -> dict:
         r"s[ée]cu|sociale|documento|reisepass|pasaporte|passeport|fiscal|seguridad)[^.!?\d]{0,24}(?:(?:no|nr|núm|num|n)\.)?[^.!?\d]{0,12}$"
     )
     art = rf"(?:de{_J}la{_J}|de{_J}los{_J}|de{_J}las{_J}|del{_J}|des{_J}|du{_J}|de{_J}l'|de{_J}|d')?"
+    suffix, before = r"(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm)", ("Am", "Im", "Zum", "Zur", "An{}der", "Auf{}der")
+    ways = ("Calle{}", "C/{}?", r"Avda\.{}", "Avenida{}", "Plaza{}", "Paseo{}", "Camino{}", "Ronda{}")
     after = rf"(?=\s*(?:[,.;:)\]\r\n]|$)|{_J}(?:in|near|at|à|en|bei)\b)"
     address = "|".join(
         [
             rf"(?<![\w/.-])\d{{1,4}}[a-z]?(?:[-–]\d{{1,4}}[a-z]?)?{_J}(?:[NSEW]\.{_J})?(?:{_CAP}{_J}){{1,3}}(?:{_STREETS})\b{after}",
             rf"(?<![\w/.-])\d{{1,4}}[a-z]?(?:[-–]\d{{1,4}})?{_J}The{_J}\p{{Lu}}\p{{L}}+s\b{after}",
-            rf"(?:Alte[rsn]?{_J})?\p{{Lu}}[\p{{L}}-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm){_J}\d{{1,4}}[a-z]?\b",
-            rf"\b(?:Am|Im|Zum|Zur|An{_J}der|Auf{_J}der){_J}\p{{Lu}}[\p{{L}}-]+{_J}\d{{1,4}}[a-z]?\b",
+            rf"(?:Alte[rsn]?{_J})?\p{{Lu}}[\p{{L}}-]*{suffix}{_J}\d{{1,4}}[a-z]?\b",
+            rf"\b(?:{'|'.join(before).format(_J, _J)}){_J}\p{{Lu}}[\p{{L}}-]+{_J}\d{{1,4}}[a-z]?\b",
             rf"(?<![\w/.-])\d{{1,4}}(?:{_J}(?:bis|ter))?,?{_J}(?:rue|avenue|av\.|bd\.|boulevard|chemin|place|quai|impasse|allée|route|cours|square){_J}{art}{_CAP}(?:-{_CAP})*",
-            rf"(?:\bCalle{_J}|\bC/{_J}?|\bAvda\.{_J}|\bAvenida{_J}|\bPlaza{_J}|\bPaseo{_J}|\bCamino{_J}|\bRonda{_J}){art}{_CAP}(?:{_J}{_CAP})?,?{_J}\d{{1,4}}[a-z]?\b",
+            rf"\b(?:{'|'.join(ways).replace('{}', _J)}){art}{_CAP}(?:{_J}{_CAP})?,?{_J}\d{{1,4}}[a-z]?\b",
         ]
     )
     edge, end = r"(?<![\w@/.,\-+])", r"(?![\w@/]|[-.,]\d)"
     token = rf"(?:\p{{Lu}}\.|{_CAP}(?:-{_CAP})*)"
     return {
-        "at": re.compile(r"@|[\[({<]at[\])}>]|\bAT\b|\barroba\b|\bat\b(?=\s+\S+\s+dot\s)"),
+        "at": re.compile(r"@|[\[({<]at[\])}>]|\bAT\b|\barroba\b|\bat\b(?=\s+\S+\s+(?:dot|DOT|[\[({<]dot[\])}>])\s)"),
         "local": regex.compile(rf"{local}(?P<j>{_J})?$"),
         "domain": regex.compile(rf"{label}(?:\.{label})*\.[A-Za-z]{{2,}}"),
-        "spelled": regex.compile(rf"{_J}{label}(?:{_J}{dot}{_J}{label})+"),
+        # After a spelled at: each separator a dot or a spelled dot; a last label after a dot is a plain one.
+        "spelled": regex.compile(rf"{_J}{label}(?:(?:\.|{_J}{dot}{_J}){label})*(?:\.[A-Za-z]{{2,}}|{_J}{dot}{_J}{label})(?![\w@])"),
         "digits": re.compile(r"\d(?:[()./ -]{0,3}(?:\s{1,3})?\d){5,}"),
         "code": re.compile(r"[A-Z]\d\d[A-Z]\d\d"),
         # Where an address can be at all: a number before a capital or a street word, or a street word of the other order.
-        "street": re.compile(rf"\d[a-z]?\s+(?:[A-ZÀ-Þ][\w'’.]*\s+){{1,4}}(?:{_STREETS})\b|\d[a-z]?\s+The\s+[A-ZÀ-Þ]|\d(?:\s+(?:bis|ter))?,?\s+(?:rue|avenue|av\.|bd\.|boulevard|chemin|place|quai|impasse|allée|route|cours|square)\s"),
+        "street": re.compile(rf"\d[a-z]?\s+(?:[^\W\d_a-z][\w'’.]*\s+){{1,4}}(?:{_STREETS})\b|\d[a-z]?\s+The\s+[^\W\d_a-z]|\d(?:\s+(?:bis|ter))?,?\s+(?:rue|avenue|av\.|bd\.|boulevard|chemin|place|quai|impasse|allée|route|cours|square)\s"),
+        "street_first": re.compile(rf"{suffix}\s+\d|(?:{'|'.join(before).format(*[chr(92) + 's+'] * 2)})\s+[^\W\d_]|{'|'.join(ways).replace('{}?', '').replace('{}', chr(92) + 's+')}"),
         "address": regex.compile(address),
         "phone": regex.compile(rf"{edge}(?:{phone}){end}"),
         "sure_id": regex.compile(rf"{edge}(?:{sure_id}){end}"),
@@ -133,8 +137,8 @@ def patterns() -> dict:
 
 
 #: Without one of these a text has no email, and no address with the number behind the street.
-AT_SIGNS = ("@", "at]", "at)", "at}", "at>", "AT", "arroba", " dot", "\ndot")
-STREET_SIGNS = ("straße", "strasse", "str.", "weg ", "weg\n", "gasse", "platz", "allee", "ufer", "damm", "Am ", "Im ", "Zum ", "Zur ", "An der", "Auf der", "Am\n", "Calle", "C/", "Avda.", "Avenida", "Plaza", "Paseo", "Camino", "Ronda")
+AT_SIGNS = ("@", "at]", "at)", "at}", "at>", "AT", "arroba", "dot", "DOT")
+STREET_SIGNS = ("straße", "strasse", "str.", "weg", "gasse", "platz", "allee", "ufer", "damm", "Am", "Im", "Zum", "Zur", "An", "Auf", "Calle", "C/", "Avda.", "Avenida", "Plaza", "Paseo", "Camino", "Ronda")
 PUNCTUATION = ".,;:!?\"“”„»«()¿¡…"
 
 
@@ -168,7 +172,7 @@ def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
         found.append(("email", text[a:b]))
         text = text[:a] + "\0" * (b - a) + text[b:]
     digits = sum(map(text.count, "0123456789"))
-    if digits and (any(x in text for x in STREET_SIGNS) or p["street"].search(text)):
+    if digits and ((any(x in text for x in STREET_SIGNS) and p["street_first"].search(text)) or p["street"].search(text)):
         text = p["address"].sub(take("address"), text)
     if digits >= 5 and (any(sum(map(str.isdigit, m)) >= 6 for m in p["digits"].findall(text)) or p["code"].search(text)):
         text = p["cued_id"].sub(take_cued, text)

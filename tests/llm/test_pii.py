@@ -50,3 +50,18 @@ def test_parts_stay_the_same_person():
     new = {k + "|" + p: pii.surrogate_part(k, p) for k, p in (("given", "ann"), ("family", "lee"))}
     a, b = pii.rebuild("name", "Ann Lee", new), pii.rebuild("name", "LEE, Ann", new)
     assert a.split()[1].upper() == b.split()[0].rstrip(",") and a.split()[0] == b.split()[1]
+
+
+def test_spelled_at_before_any_domain():
+    spelled = ["basil.quarnnier (at) lommerpole.invalid", "ann AT post.example", "ann [at] mail.post [dot] example", "ann at post dot mail.example", "ann at post (dot) example", "ann at post\u00a0dot\u00a0example"]
+    for value in spelled:
+        assert pii.contacts(f"Please write to {value}. Thank you.")[0] == [("email", value)]
+    assert pii.contacts("Write to me at stanley.pelluwick@post.example now.")[0] == [("email", "stanley.pelluwick@post.example")]
+    assert pii.contacts("Write to me AT STANLEY.PELLUWICK@post.example now, or look at post.example.")[0] == [("email", "STANLEY.PELLUWICK@post.example")]
+
+
+def test_addresses_with_any_white_space():
+    for space in (" ", "\n", "\r\n", "\u00a0", "\t"):
+        for words in (("Im", "Winkel", "7"), ("Zum", "Anger", "12"), ("Zur", "Linde", "3a"), ("Am", "Bach", "5"), ("An", "der", "Mauer", "4"), ("Auf", "der", "Heide", "9"), ("Mühlweg", "8"), ("Calle", "Mayor", "5"), ("12", "Łęg", "Street")):
+            value = space.join(words)
+            assert pii.contacts(f"Ich wohne jetzt {value}, danke.")[0] == [("address", value)], repr(value)
