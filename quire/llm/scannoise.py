@@ -8,7 +8,8 @@ Misread words. The anagram hash of a word is the sum of the fifth powers of its
 character codes, so replacing ``a`` by ``b`` changes it by a fixed difference. For
 every rare word and every known confusion that can apply, the shifted hash is joined
 with the hashes of frequent words in SQL; the replacement is then verified in place.
-The most frequent target wins.
+The most frequent target wins. A target must be that much more frequent by records or by
+different texts, so a misread word in a text of many copies is still a rare one.
 
 Divided words. The joined and the hyphenated form are looked up; the more frequent one
 is the word, corrected like any other where neither is known.
@@ -91,9 +92,9 @@ class Reader:
     """Collects the rows of one task."""
 
     def __init__(self, known: frozenset[str]):
-        self.known, self.counts = known, Counter()
+        self.known, self.counts, self.repeated = known, Counter(), defaultdict(Counter)
 
-    def read(self, text: str) -> tuple[set[str], set[tuple[str, str]]]:
+    def read(self, text: str, copies: int = 1) -> tuple[set[str], set[tuple[str, str]]]:
         """(unknown words, divided words) of one text."""
         text = quality.plain(text)
         divided: set[tuple[str, str]] = set()
@@ -110,17 +111,17 @@ class Reader:
         there = distinct & self.known
         if not is_running_text(text, len(words), len(distinct), len(there)):
             return set(), set()
-        self.counts.update(there)
+        (self.counts if copies == 1 else self.repeated[copies]).update(there)
         return distinct - there, divided
 
 
 SCHEMA = (
-    "kind string, src_table string, a string, b string, keys array<bigint>, n bigint, rec_key bigint, run_id string, book_id string, page int, "
+    "kind string, src_table string, a string, b string, keys array<bigint>, n bigint, copies bigint, rec_key bigint, run_id string, book_id string, page int, "
     "edges array<struct<text:string,place:int,count:int,kind:string>>"
 )
 EDGES = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32()), ("count", pa.int32()), ("kind", pa.string())]))
 TYPES = {
-    "kind": pa.string(), "src_table": pa.string(), "a": pa.string(), "b": pa.string(), "keys": pa.list_(pa.int64()), "n": pa.int64(),
+    "kind": pa.string(), "src_table": pa.string(), "a": pa.string(), "b": pa.string(), "keys": pa.list_(pa.int64()), "n": pa.int64(), "copies": pa.int64(),
     "rec_key": pa.int64(), "run_id": pa.string(), "book_id": pa.string(), "page": pa.int32(), "edges": EDGES,
 }
 
@@ -134,19 +135,29 @@ def as_batch(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(TYPES))
 
 
-def index_rows(kind: str, src: str, index: dict) -> pa.RecordBatch:
-    """An inverted index of one batch as rows: entry (a word or a pair) and the keys of its records."""
+def index_rows(kind: str, src: str, index: dict, single: Counter | None = None) -> pa.RecordBatch:
+    """An inverted index of one batch as rows: entry (a word or a pair), the keys of its records, and the ``single`` count of those without copies."""
     entries, lists = list(index), list(index.values())
     offsets = np.zeros(len(lists) + 1, dtype=np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
     keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(lists)), pa.int64()))
     first, second = (entries, None) if kind == "w" else ([e[0] for e in entries], [e[1] for e in entries])
-    return as_batch(len(entries), kind=kind, src_table=src, a=first, b=second, keys=keys)
+    return as_batch(len(entries), kind=kind, src_table=src, a=first, b=second, keys=keys, n=None if single is None else [single[e] for e in entries])
+
+
+def counted_rows(kind: str, src: str, counts: dict[int, Counter]) -> pa.RecordBatch:
+    """Counts of words by the number of copies of their texts as rows of kind c (listed words) or r (others)."""
+    rows = [(w, n, copies) for copies, c in counts.items() for w, n in c.items()]
+    return as_batch(len(rows), kind=kind, src_table=src, a=[x[0] for x in rows], n=[x[1] for x in rows], copies=[x[2] for x in rows])
 
 
 def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], html: bool) -> DataFrame:
     """One narrow pass. Per batch an inverted index of its unknown words (kind w: word ``a``, ``keys``) and its divided words
-    (h: ``a``, ``b``, ``keys``), for pages the edge lines (e: one row per page), per task the counts of listed words (c: ``a``, ``n``)."""
+    (h: ``a``, ``b``, ``keys``), for pages the edge lines (e: one row per page), per task the counts of listed words (c: ``a``, ``n``,
+    ``copies`` of their texts). Unlisted words of texts without copies are counted in ``n`` of w, the others per batch (r: as c)."""
+    df = df.withColumn("text_digest", F.xxhash64(text))
+    repeated = small(df.where(F.col(text) != "").groupBy("text_digest").agg(F.count("*").alias("text_copies")).where("text_copies > 1"))
+    df = df.join(repeated, "text_digest", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(known)
@@ -154,7 +165,8 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
             words: dict[str, list[int]] = defaultdict(list)
             pairs: dict[tuple[str, str], list[int]] = defaultdict(list)
             pages: list[tuple] = []
-            for k, t, run_id, book_id, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            single, others = Counter(), defaultdict(Counter)
+            for k, t, run_id, book_id, page, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not t:
                     continue
                 if html:
@@ -163,7 +175,7 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                     cut_: set[tuple[str, str]] = set()
                     for u in parts:
                         if u.kind not in ("li", "tr"):
-                            w, h = reader.read(u.text)
+                            w, h = reader.read(u.text, copies)
                             got |= w
                             cut_ |= h
                     n, edges = len(parts), []
@@ -173,19 +185,22 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                     if edges:
                         pages.append((k, run_id, book_id, page, edges))
                 else:
-                    got, cut_ = reader.read(t)
+                    got, cut_ = reader.read(t, copies)
+                (single if copies == 1 else others[copies]).update(got)
                 for w in got:
                     words[w].append(k)
                 for h in cut_:
                     pairs[h].append(k)
-            yield index_rows("w", src, {w: v for w, v in words.items() if is_word(w)})
+            yield index_rows("w", src, {w: v for w, v in words.items() if is_word(w)}, single)
+            if others:
+                yield counted_rows("r", src, {c: Counter({w: n for w, n in x.items() if is_word(w)}) for c, x in others.items()})
             yield index_rows("h", src, pairs)
             if pages:
                 keys, runs, books, numbers, edges = zip(*pages, strict=True)
                 yield as_batch(len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=edges)
-        yield as_batch(len(reader.counts), kind="c", src_table=src, a=list(reader.counts), n=list(reader.counts.values()))
+        yield counted_rows("c", src, {1: reader.counts, **reader.repeated})
 
-    return df.select(F.col(key).cast("long").alias("k"), text, "run_id", "book_id", "page").mapInArrow(run, SCHEMA)
+    return df.select(F.col(key).cast("long").alias("k"), text, "run_id", "book_id", "page", F.coalesce("text_copies", F.lit(1)).alias("copies")).mapInArrow(run, SCHEMA)
 
 
 def anagram_hash(word: str) -> Column:
@@ -198,12 +213,14 @@ def _power(s: str) -> int:
 
 
 def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(word, target): the most frequent word that one confusion leads to. ``rare``: word, n; ``frequent``: word, n."""
+    """(word, target): the most frequent word that one confusion leads to. Both: word, ``n`` records and, if known, different ``texts``."""
+    rare, frequent = (x if "texts" in x.columns else x.withColumn("texts", F.col("n")) for x in (rare, frequent))
     changes = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(_power(b) - _power(a)).alias("shift")) for a, b in CONFUSIONS])
-    shifted = rare.withColumn("x", changes).select("word", "n", F.explode(F.expr("filter(x, c -> instr(word, c.a) > 0)")).alias("c"), anagram_hash("word").alias("h"))
-    shifted = shifted.select("word", "n", "c.a", "c.b", (F.col("h") + F.col("c.shift")).alias("h"))
-    targets = frequent.where(f"n >= {MIN_TARGET}").select(F.col("word").alias("target"), F.col("n").alias("target_n"), anagram_hash("word").alias("h"))
-    met = shifted.join(targets, "h").where(f"target_n >= {RATIO} * n and word <> target")
+    shifted = rare.withColumn("x", changes).select("word", "n", "texts", F.explode(F.expr("filter(x, c -> instr(word, c.a) > 0)")).alias("c"), anagram_hash("word").alias("h"))
+    shifted = shifted.select("word", "n", "texts", "c.a", "c.b", (F.col("h") + F.col("c.shift")).alias("h"))
+    targets = frequent.where(f"n >= {MIN_TARGET}").select(F.col("word").alias("target"), F.col("n").alias("target_n"), F.col("texts").alias("target_texts"), anagram_hash("word").alias("h"))
+    often = f"(target_n >= {RATIO} * n or (target_texts >= {MIN_TARGET} and target_texts >= {RATIO} * texts))"
+    met = shifted.join(targets, "h").where(f"{often} and word <> target")
     met = met.where(F.expr("exists(sequence(1, length(word) - length(a) + 1), i -> substr(word, i, length(a)) = a and concat(substr(word, 1, i - 1), b, substr(word, i + length(a))) = target)"))
     return met.groupBy("word").agg(F.max(F.struct("target_n", "target")).alias("m")).select("word", F.col("m.target").alias("target"))
 
@@ -216,18 +233,22 @@ def small(df: DataFrame) -> DataFrame:
 
 def word_noise(rows: DataFrame) -> DataFrame:
     """(src_table, rec_key, noise, value, stored): divided and misread words of :func:`scan` rows (kept by checkpoint), with the stored spelling."""
-    listed = rows.where("kind = 'c'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n"))
     words = rows.where("kind = 'w'").select("src_table", F.col("a").alias("word"), "keys")
-    vocabulary = cut(listed.withColumn("listed", F.lit(True)).unionByName(words.groupBy("word").agg(F.sum(F.size("keys")).alias("n")).withColumn("listed", F.lit(False))))
+    # Of n records in texts of c copies each, n / c are different texts.
+    copies = F.coalesce("copies", F.lit(1))
+    records, texts = F.when(F.col("kind") == "w", F.size("keys")).when(F.col("kind") == "c", F.col("n")), F.col("n") / copies
+    counted = rows.where("kind in ('c', 'r', 'w')").groupBy(F.col("a").alias("word"), (F.col("kind") == "c").alias("listed"))
+    vocabulary = cut(counted.agg(F.sum(records).alias("n"), F.round(F.sum(texts)).cast("long").alias("texts")))
     divided = rows.where("kind = 'h'").select("src_table", "a", "b", "keys")
     pairs = divided.select("a", "b").distinct().select("a", "b", F.concat("a", "b").alias("joined"), F.concat_ws("-", "a", "b").alias("hyphenated"))
-    counts = vocabulary.groupBy("word").agg(F.sum("n").alias("n"))
-    pairs = pairs.join(counts.select(F.col("word").alias("joined"), F.col("n").alias("n1")), "joined", "left")
-    pairs = cut(pairs.join(counts.select(F.col("word").alias("hyphenated"), F.col("n").alias("n2")), "hyphenated", "left").na.fill(0, ["n1", "n2"]))
+    counts = vocabulary.groupBy("word").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+    pairs = pairs.join(counts.select(F.col("word").alias("joined"), F.col("n").alias("n1"), F.col("texts").alias("x1")), "joined", "left")
+    pairs = cut(pairs.join(counts.select(F.col("word").alias("hyphenated"), F.col("n").alias("n2"), F.col("texts").alias("x2")), "hyphenated", "left").na.fill(0, ["n1", "n2", "x1", "x2"]))
     # A divided word is rare, too, if a confusion leads to a far more frequent one.
-    forms = pairs.select(F.col("joined").alias("word"), F.col("n1").alias("n")).unionByName(pairs.where("n2 >= n1").select(F.col("hyphenated").alias("word"), F.col("n2").alias("n")))
-    rare = vocabulary.where("not listed").select("word", "n").unionByName(forms).groupBy("word").agg(F.max("n").alias("n"))
-    fixed = small(corrections(rare, vocabulary.where(f"listed or n >= {MIN_TARGET}").select("word", "n")))
+    joined = pairs.select(F.col("joined").alias("word"), F.col("n1").alias("n"), F.col("x1").alias("texts"))
+    forms = joined.unionByName(pairs.where("n2 >= n1").select(F.col("hyphenated").alias("word"), F.col("n2").alias("n"), F.col("x2").alias("texts")))
+    rare = vocabulary.where("not listed").select("word", "n", "texts").unionByName(forms).groupBy("word").agg(F.max("n").alias("n"), F.max("texts").alias("texts"))
+    fixed = small(corrections(rare, vocabulary.where(f"listed or n >= {MIN_TARGET}").select("word", "n", "texts")))
     fix1 = fixed.select(F.col("word").alias("joined"), F.col("target").alias("t1"))
     fix2 = fixed.select(F.col("word").alias("hyphenated"), F.col("target").alias("t2"))
     pairs = pairs.join(fix1, "joined", "left").join(fix2, "hyphenated", "left")

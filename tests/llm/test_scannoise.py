@@ -19,6 +19,13 @@ def test_divided_and_misread_words(spark):
     assert got == {(25, "hyphen", "kitchen"), (26, "hyphen", "moss-covered"), (27, "misread", "kitchen"), (28, "misread", "the"), (29, "misread", "kitchen"), (32, "hyphen", "kitchen")}
 
 
+def test_misread_words_of_many_copies(spark):
+    plain = [f"the kitchen {w} is cold and you open a gate to the stone" for w in ("of", "is", "you", "and", "dark", "long", "before", "open", "gate", "stone", "cold", "a")]
+    copies = ["the kifchen is cold and you open a gate", "you open the kif-\nchen and the gate is cold"]
+    got = noise(spark, plain + copies[:1] * 6 + copies[1:] * 6)
+    assert got == {(k, "misread", "kitchen") for k in range(12, 24)} | {(k, "hyphen", "kitchen") for k in range(18, 24)}
+
+
 def test_lists_and_junk_are_no_prose(spark):
     plain = ["the kitchen is cold and you open a gate to the stone"] * 25
     assert noise(spark, plain + ["- kifchen\n- gate\n- stone", "kifchen | 12 | 4\ngate | 3 | 9", "xx kifchen zz qq ww rr tt"]) == set()
