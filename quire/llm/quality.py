@@ -292,8 +292,8 @@ def text_types(rows: DataFrame) -> DataFrame:
     return rows.select("src_table", "rec_key", "chars", top.alias("text_type"), "weight", "other_share")
 
 
-def statistics(df: DataFrame, key: str, text: str, common: frozenset[str]) -> DataFrame:
-    """All statistics of each non-empty text, as columns."""
+def statistics(df: DataFrame, key: str, text: str, common: frozenset[str], html: bool = False) -> DataFrame:
+    """All statistics of each non-empty text (of ``html``: its readable text, a line or more per block), as columns."""
     names = Stats._fields
     types = [pa.int64() if t in ("int", int) else pa.float64() for t in Stats.__annotations__.values()]
     spark_types = ", ".join(f"{n} {'long' if t == pa.int64() else 'double'}" for n, t in zip(names, types, strict=True))
@@ -301,7 +301,10 @@ def statistics(df: DataFrame, key: str, text: str, common: frozenset[str]) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = Words(common)
         for batch in batches:
-            rows = [(k, stats(p, kinds)) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t and (p := plain(t))]
+            texts = batch.column(1).to_pylist()
+            if html:
+                texts = ["\n".join(x for _, x in pagetext.blocks(t)) for t in texts]
+            rows = [(k, stats(p, kinds)) for k, t in zip(batch.column(0).to_pylist(), texts, strict=True) if t and (p := plain(t))]
             cols = [pa.array([k for k, _ in rows], pa.int64())]
             cols += [pa.array([round(s[i], 6) for _, s in rows], types[i]) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names=[key, *names])

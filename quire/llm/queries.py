@@ -21,8 +21,12 @@ def _text_types(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
-    """Text statistics of every element."""
-    return quality.statistics(table(spark, d, ELEMENTS), "element_key", "text", quality.common_words(spark, d)).dropDuplicates(["element_key"])
+    """Text statistics of every element and of the readable text of every page."""
+    common = quality.common_words(spark, d)
+    elements = quality.statistics(table(spark, d, ELEMENTS), "element_key", "text", common).withColumnRenamed("element_key", "rec_key")
+    pages = quality.statistics(table(spark, d, "pages_html"), "page_key", "html", common, html=True).withColumnRenamed("page_key", "rec_key")
+    out = elements.select(F.lit("element").alias("src_table"), "*").unionByName(pages.select(F.lit("page").alias("src_table"), "*"))
+    return out.dropDuplicates(["src_table", "rec_key"])
 
 
 def p1_types(spark: SparkSession, d: str) -> DataFrame:

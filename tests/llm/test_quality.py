@@ -1,6 +1,9 @@
 from __future__ import annotations
 
-from quire.llm import pagetext, quality
+import pytest
+
+from quire.llm import pagetext, quality, queries
+from tests import edge_tables as et
 
 COMMON = frozenset("the a of and is in you to it for was at".split())
 PROSE = "You lift the lantern and it is cold in the vault, for nobody was at the gate to open it."
@@ -45,3 +48,18 @@ def test_units_of_tolerant_markup():
     u = pagetext.units('<p class="running-head">HEAD</p><p>a&amp;b<br>c<p><b>12</b></p><ul><li>x<li>y</ul><footer>9</footer>')
     assert [(x.kind, x.text) for x in u] == [("header", "HEAD"), ("p", "a&b\nc"), ("b", "12"), ("li", "x"), ("li", "y"), ("footer", "9")]
     assert pagetext.units(None) == [] and pagetext.units("<img alt=''>") == []
+
+
+def test_statistics_of_pages_are_those_of_their_readable_text(spark):
+    page = spark.createDataFrame([(1, f"<p>{PROSE}</p><ul><li>Nine ropes<li>Four cloaks</ul>"), (2, "<img alt=''>"), (3, None)], "k long, t string")
+    text = spark.createDataFrame([(1, f"{PROSE}\n- Nine ropes\n- Four cloaks")], "k long, t string")
+    assert quality.statistics(page, "k", "t", COMMON, html=True).collect() == quality.statistics(text, "k", "t", COMMON).collect()
+
+
+@pytest.mark.skipif(not et.SOURCE.exists(), reason="no data folder here")
+def test_statistics_of_every_element_and_page(spark):
+    got = {(r.src_table, r.rec_key) for r in queries.p1_statistics(spark, str(et.SOURCE)).select("src_table", "rec_key").collect()}
+    pages = spark.read.parquet(str(et.SOURCE / "pages_html.parquet")).collect()
+    elements = spark.read.parquet(str(et.SOURCE / f"{queries.ELEMENTS}.parquet")).collect()
+    want = {("page", r.page_key) for r in pages if any(x.text.strip() for x in pagetext.units(r.html))}
+    assert want and got == want | {("element", r.element_key) for r in elements if quality.plain(r.text or "")}
