@@ -18,9 +18,9 @@ def likeness(a: str, b: str) -> float:
 
 
 def disagreement(readings: Sequence[str]) -> float:
-    """Mean unlikeness over all pairs of readings; 0 with fewer than two."""
+    """Mean unlikeness over all pairs of whole readings, by the sequence ratio with its junk rule as in the reference; 0 with fewer than two."""
     pairs = list(combinations(readings, 2))
-    return round(sum(1 - likeness(a, b) for a, b in pairs) / len(pairs), 4) if pairs else 0.0
+    return round(sum(1 - difflib.SequenceMatcher(None, a, b).ratio() for a, b in pairs) / len(pairs), 4) if pairs else 0.0
 
 
 def outlier(readings: dict[str, str], least: float = 0.6) -> str | None:

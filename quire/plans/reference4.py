@@ -64,11 +64,11 @@ def sampled_pages(spark, d):
 
 @query
 def engine_disagreement(spark, d):
-    """Unlikeness of both readings of a page's first two hundred letters."""
+    """Unlikeness of both readings of a page, whole texts but for the white space."""
     e = _elements(spark, d, "run_id", "page", "seq", "text").groupBy("run_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x.text), " ").alias("a"))
     p = _pages(spark, d).groupBy("run_id", "page").agg(F.max(tx.strip_tags(F.col("html"))).alias("b"))
-    head = lambda c: F.substring(F.regexp_replace(F.lower(c), "[^a-z]", ""), 1, 200)
-    return e.join(p, ["run_id", "page"]).select("run_id", "page", al.disagreement_column(head(F.col("a")), head(F.col("b"))).alias("disagreement"))
+    whole = lambda c: F.trim(F.regexp_replace(c, "\\s+", " "))
+    return e.join(p, ["run_id", "page"]).select("run_id", "page", al.disagreement_column(whole("a"), whole("b")).alias("disagreement"))
 
 
 @query

@@ -108,3 +108,16 @@ def test_sections(spark):
     low, high = se.expected_range(F.col("n"), F.col("p"))
     rows = spark.createDataFrame([(0, "sections 1-350"), (12, None), (0, "9-2")], "n int, p string").select(low.alias("a"), high.alias("b")).collect()
     assert [(r.a, r.b) for r in rows] == [(1, 350), (1, 12), (1, 400)]
+
+
+def test_disagreement_of_whole_texts(spark, tmp_path):
+    from quire.plans import reference4
+
+    start = "The gate is cold and dark. " * 12
+    pages = [(1, "r", 1, f"<p>{start}Turn to 17 now.</p>"), (2, "r", 2, f"<p>{start}Élan Übermut</p>"), (3, "r", 3, f"<p>{start}Same end.</p>")]
+    texts = {1: start + "XQZ 9 @@ wholly else", 2: start + "Ýñþ Ôç", 3: start + "Same end."}
+    spark.createDataFrame(pages, "page_key long, run_id string, page int, html string").write.parquet(str(tmp_path / "pages_html.parquet"))
+    elements = spark.createDataFrame([(k, "r", k, 0, t) for k, t in texts.items()], "element_key long, run_id string, page int, seq long, text string")
+    elements.write.parquet(str(tmp_path / "elements_core_content_types_rubric_v1.parquet"))
+    got = {r.page: r.disagreement for r in reference4.engine_disagreement(spark, str(tmp_path)).collect()}
+    assert got[1] > 0 and got[2] > 0 and got[3] == 0
