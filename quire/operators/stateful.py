@@ -64,9 +64,12 @@ def repeated_pages(df: DataFrame, group: str, key: str, order: str, text: str, l
 
     def likeness(a: str, b: str, ta: set, tb: set) -> float:
         share = len(ta & tb) / len(ta | tb)
-        if share >= threshold or share < 0.3:
+        least = max(share, threshold)
+        # Upper bounds of the ratio: by length, by characters.
+        if share == 1 or 2 * min(len(a), len(b)) < least * (len(a) + len(b)):
             return share
-        return max(share, difflib.SequenceMatcher(None, a, b).ratio())
+        m = difflib.SequenceMatcher(None, a, b)
+        return share if m.quick_ratio() < least else max(share, m.ratio())
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values([order, key])

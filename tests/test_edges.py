@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from quire.operators import stateful as st
 from quire.plans import problems
 from tests import edge_tables as et
 
@@ -19,3 +20,14 @@ def test_clashing_columns_nulls_and_copies_change_nothing(spark, tmp_path):
     for name in ("p4_found", "p5_found", "p6_found"):
         want = sorted(map(str, problems.QUERIES[name](spark, str(et.SOURCE)).collect()))
         assert sorted(map(str, problems.QUERIES[name](spark, d).collect())) == want, name
+
+
+def test_repeated_pages_with_a_wrong_character_in_most_words(spark):
+    import difflib
+
+    page = "wonderful lanterns brightly illuminated underground passageways throughout forgotten settlements yesterday"
+    bad = " ".join(w[:4] + "#" + w[5:] for w in page.split())
+    other = "Nobody opens the cold gate of the old mill before noon, says the miller of the hill."
+    df = spark.createDataFrame([("r", 1, 1, page), ("r", 2, 2, bad), ("r", 3, 3, other), ("r", 4, 4, page)], "run_id string, k long, page int, text string")
+    got = {(r.k, r.of, r.similarity) for r in st.repeated_pages(df, "run_id", "k", "page", "text", threshold=0.85).collect()}
+    assert got == {(2, 1, round(difflib.SequenceMatcher(None, bad, page).ratio(), 4)), (4, 1, 1.0)}
