@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ def broken(nodes: DataFrame, edges: DataFrame, group: Sequence[str], node: str,
     return targets.join(nodes.select(*group, node).distinct(), [*group, node], "left_anti")
 
 
-def reachable(edges: DataFrame, starts: DataFrame, group: Sequence[str], src: str, dst: str, node: str, depth: int = 20) -> DataFrame:
-    """Breadth-first search: group, ``node`` and its ``depth``, up to ``depth`` steps.
+def reachable(edges: DataFrame, starts: DataFrame, group: Sequence[str], src: str, dst: str, node: str, depth: int | None = 20) -> DataFrame:
+    """Breadth-first search: group, ``node`` and its ``depth``, up to ``depth`` steps (None: as far as it goes).
 
     One equi-join per level against the frontier only; each level is a checkpoint, so
     plans stay short, and the loop ends at the first empty frontier.
@@ -41,7 +42,7 @@ def reachable(edges: DataFrame, starts: DataFrame, group: Sequence[str], src: st
     frontier = starts.select(*group, node).distinct().withColumn("depth", F.lit(0))
     seen = cut(frontier)
     frontier = seen
-    for level in range(1, depth + 1):
+    for level in count(1) if depth is None else range(1, depth + 1):
         step = frontier.join(edges.withColumnRenamed(src, node), [*group, node]).select(*group, F.col(dst).alias(node)).distinct()
         frontier = cut(step.join(seen.select(*group, node), [*group, node], "left_anti").withColumn("depth", F.lit(level)))
         if frontier.isEmpty():

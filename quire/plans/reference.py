@@ -303,9 +303,21 @@ def broken_links(spark, d):
 
 @query
 def reachable_sections(spark, d):
-    """Sections within twenty choices of the start."""
+    """Sections that choices lead to from the start, with the fewest choices."""
     starts = _nodes(spark, d).where("section in ('1', 'background')").select("run_id", F.col("section").alias("node"))
-    return gr.reachable(_edges(spark, d), starts, ["run_id"], "src", "dst", "node")
+    return gr.reachable(_edges(spark, d), starts, ["run_id"], "src", "dst", "node", depth=None)
+
+
+@query
+def reachable_by_events(spark, d):
+    """Gameplay sections that events of any kind lead to from the start, with the fewest steps."""
+    s = table(spark, d, "gamebook_sections").where("deleted_at is null").withColumn("section", rf.section_key(F.col("section_id")))
+    game = s.groupBy("run_id", "section").agg(F.max("is_gameplay_section").alias("game")).where("game").select("run_id", "section")
+    e = s.select("run_id", F.col("section").alias("src"), F.explode("sequence").alias("e"))
+    e = e.withColumn("t", F.explode(F.array("e.targetSection", "e.outcomes.win.targetSection", "e.outcomes.lose.targetSection")))
+    edges = e.select("run_id", "src", rf.section_key(F.col("t")).alias("dst")).dropna().distinct().join(game.withColumnRenamed("section", "dst"), ["run_id", "dst"], "left_semi")
+    starts = game.where("section in ('1', 'background')").select("run_id", F.col("section").alias("node"))
+    return gr.reachable(edges, starts, ["run_id"], "src", "dst", "node", depth=None)
 
 
 @query

@@ -40,3 +40,19 @@ def test_empty_tables(spark):
     asked = spark.createDataFrame([("a", t(0))], "k string, loaded_at timestamp")
     assert rf.orphan_references(records, asked, ["k"]).count() == 1
     assert rf.orphan_references(records, asked.limit(0), ["k"]).count() == 0
+
+
+def test_reachable_without_bound_and_by_all_events(spark, tmp_path):
+    from quire.plans import reference
+
+    def event(kind, target=None, win=None, lose=None):
+        return {"kind": kind, "targetSection": target, "outcomes": {"win": {"targetSection": win}, "lose": {"targetSection": lose}}}
+
+    rows = [("r", str(i), True, [event("choice", str(i + 1))]) for i in range(1, 30)]
+    rows += [("r", "30", True, [event("combat", None, "40", "section 41"), event("stat_change", "42")]), ("r", "40", True, None), ("r", "41", True, []), ("r", "42", False, [event("choice", "43")]), ("r", "43", True, None)]
+    event_type = "struct<kind string, targetSection string, outcomes struct<win struct<targetSection string>, lose struct<targetSection string>>>"
+    df = spark.createDataFrame(rows, f"run_id string, section_id string, is_gameplay_section boolean, sequence array<{event_type}>")
+    df.selectExpr("*", "false as end_game", "cast(null as timestamp) as deleted_at").write.parquet(str(tmp_path / "gamebook_sections.parquet"))
+    by_choice = {r.node: r.depth for r in reference.reachable_sections(spark, str(tmp_path)).collect()}
+    assert by_choice == {str(i): i - 1 for i in range(1, 31)}
+    assert {r.node: r.depth for r in reference.reachable_by_events(spark, str(tmp_path)).collect()} == by_choice | {"40": 30, "41": 30}
