@@ -81,7 +81,7 @@ def collapsed_blanks(spark, d):
 @query
 def title_candidates(spark, d):
     """Best title line of every run."""
-    e = _elements(spark, d, "run_id", "page", "seq", "text").where("page <= 3 and length(text) <= 80")
+    e = _elements(spark, d, "run_id", "page", "seq", "text").where("page <= 5 and length(text) <= 80")
     e = e.withColumn("score", em.heading_score(F.col("text"), F.col("page"), F.col("seq")))
     return rl.best_row(e, ["run_id"], [-F.col("score"), F.col("seq"), F.col("element_key")]).select("run_id", "element_key", "score")
 
