@@ -14,14 +14,20 @@ from quire.sources.tables import table
 # --- nested records -------------------------------------------------------------
 
 
+#: SQL of the fights of an unwrapped raw record.
+RAW_FIGHTS = """coalesce(try_variant_get(j, '$.combat', 'variant'),
+  try_variant_get(j, '$.data.portion.combat', 'variant'),
+  try_variant_get(j, '$.portion.combat', 'variant'),
+  try_variant_get(j, '$.data.combat', 'variant'))"""
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Every child of the nested fields with its parent's key and places."""
     typed = table(spark, d, "enriched_portions").select(F.col("portion_key").alias("parent_key"), F.col("combat.enemies").alias("e"))
     enemy = ne.explode_arrow(typed, "e", ["pos1", "pos2"], "v").select(F.lit("enemy").alias("child"), "parent_key", "pos1", "pos2")
 
     raw = ne.unwrap_json(table(spark, d, "raw_portions").select(F.col("raw_key").alias("parent_key"), "record"), "record", "j")
-    at = "coalesce(try_variant_get(j, '$.combat', 'variant'), try_variant_get(j, '$.data.portion.combat', 'variant'), try_variant_get(j, '$.portion.combat', 'variant'), try_variant_get(j, '$.data.combat', 'variant'))"
-    raw = raw.select("parent_key", F.expr(at).alias("fights"))
+    raw = raw.select("parent_key", F.expr(RAW_FIGHTS).alias("fights"))
     raw = raw.select("parent_key", F.expr(f"""transform({ne.entries_sql('fights')}, f -> named_struct('pos', f.pos, 'in',
         transform(case when coalesce(schema_of_variant(try_variant_get(f.v, '$.enemies', 'variant')), 'VOID') <> 'VOID' then {ne.entries_sql("try_variant_get(f.v, '$.enemies', 'variant')")}
                        when try_variant_get(f.v, '$.enemy', 'variant') is not null then array(named_struct('pos', 0L, 'v', f.v)) end,
@@ -48,6 +54,21 @@ def p4_enemies(spark: SparkSession, d: str) -> DataFrame:
     return flat.select("portion_key", "fight_pos", "enemy_pos", "v.enemy", "v.skill", "v.stamina", "v.armour", "v.firepower", "v.speed").distinct()
 
 
+def p4_raw_enemies(spark: SparkSession, d: str) -> DataFrame:
+    """Flat enemy table of the raw portions in all their shapes, linked by raw_key and places."""
+    src = ne.unwrap_json(table(spark, d, "raw_portions").select("raw_key", "record"), "record", "j").select("raw_key", F.expr(RAW_FIGHTS).alias("f"))
+    fights = ne.explode_shaped(src, "f", "raw_key", "fight_pos", "v").withColumn("f", F.expr("try_parse_json(v)"))
+    inner = "try_variant_get(f, '$.enemies', 'variant')"
+    enemies = F.expr(f"case when coalesce(schema_of_variant({inner}), 'VOID') <> 'VOID' then {inner} when try_variant_get(f, '$.enemy', 'variant') is not null then f end")
+    flat = ne.explode_shaped(fights.select(F.struct("raw_key", "fight_pos").alias("at"), enemies.alias("e")), "e", "at", "enemy_pos", "v")
+    number = lambda k: F.get_json_object("v", f"$.{k}").try_cast("double").try_cast("int").alias(k)
+    enemy = F.coalesce(F.get_json_object("v", "$.enemy"), F.expr("case when v like '\"%' then try_variant_get(try_parse_json(v), '$', 'string') end"))
+    return flat.select(
+        "at.raw_key", "at.fight_pos", "enemy_pos", enemy.alias("enemy"), number("skill"), number("stamina"), number("armour"), number("firepower"),
+        F.get_json_object("v", "$.speed").alias("speed"), F.get_json_object("v", "$.special").alias("special"),
+    ).distinct()
+
+
 def p4_choices(spark: SparkSession, d: str) -> DataFrame:
     """Flat choice table of the typed portions."""
     src = table(spark, d, "enriched_portions").select("portion_key", "choices")
@@ -67,6 +88,17 @@ def p4_chapters(spark: SparkSession, d: str) -> DataFrame:
     ).distinct()
 
 
+def p4_chapter_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Flat table of the source pages of flagged chapters, linked by report_key and places."""
+    src = ne.unwrap_json(table(spark, d, "pipeline_issues").select("report_key", "summary"), "summary", "j")
+    src = src.select("report_key", F.expr("try_variant_get(j, '$.flagged_genealogy_chapters', 'variant')").alias("c"))
+    chapters = ne.explode_shaped(src, "c", "report_key", "chapter_pos", "v")
+    pages = chapters.select(F.struct("report_key", "chapter_pos").alias("at"), F.expr("try_variant_get(try_parse_json(v), '$.source_page_details', 'variant')").alias("p"))
+    flat = ne.explode_shaped(pages, "p", "at", "page_pos", "v")
+    field = lambda path, kind: F.get_json_object("v", f"$.{path}").try_cast(kind).alias(path.rpartition(".")[2])
+    return flat.select("at.report_key", "at.chapter_pos", "page_pos", field("page_number", "int"), field("metrics.table_count", "int"), field("metrics.coarse_suspect", "boolean")).distinct()
+
+
 # --- dead references ------------------------------------------------------------
 
 
@@ -132,8 +164,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p4_found": p4_found,
     "p4_enemies": p4_enemies,
+    "p4_raw_enemies": p4_raw_enemies,
     "p4_choices": p4_choices,
     "p4_chapters": p4_chapters,
+    "p4_chapter_pages": p4_chapter_pages,
     "p5_found": p5_found,
     "p5_report": p5_report,
     "p6_found": p6_found,
