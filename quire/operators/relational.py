@@ -88,3 +88,21 @@ def split_targets(refs: DataFrame, known: DataFrame, keys: Sequence[str], owner:
     """Hits and misses of each owner's references against the known keys."""
     marked = refs.join(known.select(*keys).distinct().withColumn("__hit", F.lit(1)), list(keys), "left")
     return marked.groupBy(*owner).agg(F.count("__hit").alias("hits"), (F.count("*") - F.count("__hit")).alias("misses"))
+
+
+#: A key that holds this share of all rows is hot: there are at most as many such keys as its inverse.
+HOT_SHARE = 0.001
+
+
+def hot_join(many: DataFrame, one: DataFrame, on: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
+    """Inner join of ``many`` with ``one`` (a few rows a key) in which no task gets all rows of a frequent key.
+
+    Keys with at least HOT_SHARE of the rows, at most 1 / HOT_SHARE keys by arithmetic, meet their rows of ``one``
+    by broadcast; all others meet by shuffle. ``counts``: keys and their number ``n`` in ``many``, where known.
+    ``many`` is read more than once, so it should be a table or checkpoint. Null keys meet nothing.
+    """
+    on = list(on)
+    counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    hot = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("__all")))).where(F.col("n") >= HOT_SHARE * F.col("__all")).select(*on)
+    cold = many.join(F.broadcast(hot), on, "left_anti").join(one, on)
+    return cold.unionByName(many.join(F.broadcast(one.join(F.broadcast(hot), on)), on))
