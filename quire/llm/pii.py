@@ -7,10 +7,7 @@ from the fixed list below or is learnt from the corpus (a word before an initial
 varying surnames, or after a title), a family name is a capitalised word that the
 corpus never writes in lower case. Runs are decided once per distinct run.
 
-Surrogates. Every distinct name part, number or address gets a keyed replacement of
-the same kind, gender, script and format; equal parts get equal replacements (so
-"Ann Lee" and "LEE, Ann" stay the same person) and a collision check over all
-replacements keeps different parts different.
+Surrogates of what is found are those of :mod:`quire.llm.surrogates`.
 
 Defined results: null or empty text has no entities; a text without entities comes
 out unchanged; repeated values of a document count once; a line break inside a value
@@ -19,8 +16,6 @@ counts as one space.
 
 from __future__ import annotations
 
-import hashlib
-import hmac
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,30 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.llm import surrogates as sg
+from quire.operators.relational import hot_join
 from quire.session import cut
 
-# Frequent given names by gender.
-FEMALE = (
-    "Agnes Alice Amelia Andrea Anna Anne Annelies Anita Bärbel Barbara Beatrix Brigitte Carmen Caroline Catherine Charlotte Chloé Claire Clara Claudia Colette "
-    "Consuelo Daisy Diana Dolores Dorothy Edith Eleanor Elena Elisabeth Elizabeth Ella Emily Emma Esther Eva Faith Florence Françoise Geneviève Gerda Gertrud Grace "
-    "Greta Hannah Harriet Heather Helen Helga Hope Inés Ingrid Irene Isabel Jane Joan Josefina Julia Karin Kate Laura Liesel Lucía Lucy Mabel Margaret Margarita "
-    "María Marie Martha Mary Mathilde Mercedes Monika Nora Odile Olive Olivia Ottilie Petra Pilar Rachel Renate Rocío Rosa Rose Ruth Sabine Sarah Simone Solange "
-    "Sofía Sophie Susan Teresa Thérèse Ursula Victoria Violet Winifred Yvonne"
-).split()
-MALE = (
-    "Albert Alexander Alfred Amos Andreas Andrés André Anthony Antonio Arthur Basil Benoît Bernard Bruno Carlos Charles Christian Cyril Daniel David Dieter Edgar "
-    "Edmund Edward Émile Ernst Étienne Felix Fernando François Frank Franz Frederick Friedrich George Georg Gérard Hans Harold Heinrich Henri Henry Herbert Horst "
-    "Hugh Hugo Ignacio Íñigo Jack Jacques Jaime James Javier Jean Joaquín John José Joseph Juan Julián Jürgen Karl Klaus Kurt Lucien Ludwig Luis Manuel Marc Marcel Mark "
-    "Martin Matthias Matthew Michael Michel Miguel Miles Oscar Otto Pablo Patrick Paul Pedro Peter Philip Pierre Rafael Ralph Ramón René Richard Robert Rudolf "
-    "Rupert Samuel Sebastián Simon Stanley Stefan Thomas Victor Walter Werner Wilhelm Will William Wolfgang Yves"
-).split()
 # Forms of address.
 TITLES = "Mr Mrs Ms Miss Dr Prof Sir Herr Frau Madame Monsieur Mademoiselle Mme Señor Señora Señorita Don Doña Sr Sra".split()
 
-GIVEN = {x.lower(): "f" for x in FEMALE} | {x.lower(): "m" for x in MALE}
+GIVEN = frozenset(x.lower() for x in (*sg.FEMALE, *sg.MALE, *sg.CYRILLIC_FEMALE, *sg.CYRILLIC_MALE, *sg.GREEK_FEMALE, *sg.GREEK_MALE))
 #: A learnt given name needs that many different family names after it.
 LEARN_SURNAMES = 3
-KEY = b"quire-surrogates"
 
 # Spaces within a line, and a join that may hold one line break.
 _S = r"[^\S\r\n]"
@@ -67,13 +48,13 @@ def patterns() -> dict:
 
     import regex
 
-    label = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
+    label = r"[^\W_](?:[\w-]*[^\W_])?"
     dot = r"(?:\[dot\]|\(dot\)|\{dot\}|<dot>|DOT|dot|punkt|punto|point)"
-    local = r"(?<![\w.+@-])[A-Za-z0-9][A-Za-z0-9._+%-]*"
+    local = r"(?<![\w.+@-])(?:[oO]['’])?[^\W_][\w.+%-]*"
     gap = rf"(?:[-./]|{_J})"
     phone = "|".join(
         [
-            rf"\+\d{{1,3}}(?:{gap}?\(0\))?(?:{gap}?\d+){{1,6}}",
+            rf"\+\d{{1,3}}(?:{gap}?\(\d{{1,5}}\))?(?:{gap}?\d+){{1,6}}",
             rf"1{gap}\d{{3}}{gap}\d{{3}}{gap}\d{{4}}",
             rf"\(\d{{3}}\){_J}?\d{{3}}{gap}\d{{4}}",
             rf"\d{{3}}{gap}\d{{3}}{gap}\d{{4}}",
@@ -118,18 +99,21 @@ def patterns() -> dict:
     return {
         "at": re.compile(r"@|[\[({<]at[\])}>]|\bAT\b|\barroba\b|\bat\b(?=\s+\S+\s+(?:dot|DOT|[\[({<]dot[\])}>])\s)"),
         "local": regex.compile(rf"{local}(?P<j>{_J})?$"),
-        "domain": regex.compile(rf"{label}(?:\.{label})*\.[A-Za-z]{{2,}}"),
+        "domain": regex.compile(rf"{label}(?:\.{label})*\.[^\W\d_]{{2,}}"),
         # After a spelled at: each separator a dot or a spelled dot; a last label after a dot is a plain one.
-        "spelled": regex.compile(rf"{_J}{label}(?:(?:\.|{_J}{dot}{_J}){label})*(?:\.[A-Za-z]{{2,}}|{_J}{dot}{_J}{label})(?![\w@])"),
-        "digits": re.compile(r"\d(?:[()./ -]{0,3}(?:\s{1,3})?\d){5,}"),
-        "code": re.compile(r"[A-Z]\d\d[A-Z]\d\d"),
+        "spelled": regex.compile(rf"{_J}{label}(?:(?:\.|{_J}{dot}{_J}){label})*(?:\.[^\W\d_]{{2,}}|{_J}{dot}{_J}{label})(?![\w@])"),
+        # Where a number can be at all: six digits with no more than separators between them, or a code of capitals and digits.
+        "digits": re.compile(r"\d(?:[-./()\s]*\d){5}"),
+        "code": re.compile(r"[A-Z](?=[A-Z0-9]{7})[A-Z0-9]*\d[A-Z0-9]*\d"),
+        "digit": re.compile(r"\d"),
+        "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
         # Where an address can be at all: a number before a capital or a street word, or a street word of the other order.
         "street": re.compile(rf"\d[a-z]?\s+(?:[^\W\d_a-z][\w'’.]*\s+){{1,4}}(?:{_STREETS})\b|\d[a-z]?\s+The\s+[^\W\d_a-z]|\d(?:\s+(?:bis|ter))?,?\s+(?:rue|avenue|av\.|bd\.|boulevard|chemin|place|quai|impasse|allée|route|cours|square)\s"),
-        "street_first": re.compile(rf"{suffix}\s+\d|(?:{'|'.join(before).format(*[chr(92) + 's+'] * 2)})\s+[^\W\d_]|{'|'.join(ways).replace('{}?', '').replace('{}', chr(92) + 's+')}"),
+        "street_first": re.compile(rf"(?=[swgpaudAIZCPR])(?:{suffix}\s+\d|(?:{'|'.join(before).format(*[chr(92) + 's+'] * 2)})\s+[^\W\d_]|{'|'.join(ways).replace('{}?', '').replace('{}', chr(92) + 's+')})"),
         "address": regex.compile(address),
         "phone": regex.compile(rf"{edge}(?:{phone}){end}"),
-        "sure_id": regex.compile(rf"{edge}(?:{sure_id}){end}"),
-        "cued_id": regex.compile(rf"{edge}(?:{cued_id}){end}"),
+        "sure_id": re.compile(rf"{edge}(?:{sure_id}){end}"),
+        "cued_id": re.compile(rf"{edge}(?:{cued_id}){end}"),
         "cue": regex.compile(cue),
         "run": regex.compile(rf"(?<![\w'’.-]){token}(?:,?{_J}{token})+(?![\w’'-])"),
         "space": regex.compile(r"\s+"),
@@ -142,8 +126,10 @@ STREET_SIGNS = ("straße", "strasse", "str.", "weg", "gasse", "platz", "allee",
 PUNCTUATION = ".,;:!?\"“”„»«()¿¡…"
 
 
-def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
-    """Emails, addresses, identity numbers and phones of a text, and the text with them blanked out."""
+def contacts(text: str, gated: bool = True) -> tuple[list[tuple[str, str]], str]:
+    """Emails, addresses, identity numbers and phones of a text, and the text with them blanked out.
+
+    ``gated``: the grammars run only where a cheap pattern that everything they match contains is found; the result is the same without."""
     p, found = patterns(), []
 
     def take(kind: str):
@@ -162,7 +148,7 @@ def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
         return take("phone")(m) if 9 <= n <= 15 else m.group(0)
 
     spans = []
-    for m in p["at"].finditer(text) if any(x in text for x in AT_SIGNS) else ():
+    for m in p["at"].finditer(text) if not gated or any(x in text for x in AT_SIGNS) else ():
         low = max(0, m.start() - 80)
         left = p["local"].search(text, low, m.start())
         right = left and p["domain" if m.group(0) == "@" else "spelled"].match(text, m.end())
@@ -171,10 +157,10 @@ def contacts(text: str) -> tuple[list[tuple[str, str]], str]:
     for a, b in reversed(spans):
         found.append(("email", text[a:b]))
         text = text[:a] + "\0" * (b - a) + text[b:]
-    digits = sum(map(text.count, "0123456789"))
-    if digits and ((any(x in text for x in STREET_SIGNS) and p["street_first"].search(text)) or p["street"].search(text)):
+    if not gated or (p["digit"].search(text) and ((any(x in text for x in STREET_SIGNS) and p["street_first"].search(text)) or p["street"].search(text))):
         text = p["address"].sub(take("address"), text)
-    if digits >= 5 and (any(sum(map(str.isdigit, m)) >= 6 for m in p["digits"].findall(text)) or p["code"].search(text)):
+    if not gated or p["digits"].search(text) or p["code"].search(text):
+        text = p["iban"].sub(lambda m: "\0" * len(m.group(0)), text)  # account numbers are no phones
         text = p["cued_id"].sub(take_cued, text)
         text = p["sure_id"].sub(take("id_number"), text)
         text = p["phone"].sub(take_phone, text)
@@ -273,7 +259,7 @@ def names(scan: DataFrame, key: str) -> DataFrame:
     """(``key``, value) of the full names, from the runs and words of :func:`scan_text`."""
     runs = scan.where("kind = 'run'").select(key, F.col("value").alias("run"))
     lower = scan.where("kind = 'word'").select(F.col("value").alias("token")).distinct().withColumn("lower", F.lit(True))
-    kinds = cut(runs.groupBy("run").agg(F.count("*").alias("n")).drop("n"))
+    kinds = cut(runs.groupBy("run").agg(F.count("*").alias("n")))
     parts = kinds.withColumn("t", F.split("run", " "))
     titles = F.array(*[F.lit(x) for t in TITLES for x in (t, t + ".")])
     # Evidence for a given name: "G X. Family" and "Title G Family".
@@ -300,129 +286,41 @@ def names(scan: DataFrame, key: str) -> DataFrame:
                 rows += [(r, x) for x in decide(r, set() if a is None else set(a), set() if b is None else set(b))]
             yield pd.DataFrame(rows, columns=["run", "value"], dtype=object)
 
-    decided = full.mapInPandas(run, "run string, value string")
-    return runs.join(decided, "run").select(key, "value").distinct()
-
-
-def find(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(``key``, kind, value): every different entity of every text."""
-    scan = cut(scan_text(df, key, text))
-    plain = scan.where("kind in ('email', 'phone', 'id_number', 'address')").select(key, "kind", "value")
-    return plain.unionByName(names(scan, key).select(key, F.lit("name").alias("kind"), "value"))
-
-
-# --- surrogates -----------------------------------------------------------------
-
-
-def _draw(kind: str, part: str, salt: int) -> Iterator[int]:
-    """An endless keyed stream of numbers for one part."""
-    k = 0
-    while True:
-        yield from hmac.new(KEY, f"{kind}|{part}|{salt}|{k}".encode(), hashlib.sha256).digest()
-        k += 1
-
-
-# Syllables of invented family names.
-_HEADS = "Al Bar Cal Den El Fal Gar Hal Ing Jar Kel Lan Mor Nor Or Pen Quil Ros Sel Tor Ul Ver Wen Yar Zan".split()
-_MIDS = "a be da e ga i ka la ma ne o pa ra sa ti u va we".split()
-_TAILS = "bert born by dal der ford gard ham hard kin land ley low man mark more ner ridge son stone ton wald win wood worth".split()
-
-
-def surrogate_part(kind: str, part: str, salt: int = 0) -> str:
-    """Keyed replacement of a lower-case part: ``given`` and ``family`` words, or a whole contact with its format kept."""
-    draw = _draw(kind, part, salt)
-    if kind == "given":
-        pool = FEMALE if GIVEN.get(part) == "f" else MALE
-        return pool[(next(draw) * 256 + next(draw) + salt) % len(pool)]
-    if kind == "family":
-        return "-".join(_HEADS[next(draw) % len(_HEADS)] + "".join(_MIDS[next(draw) % len(_MIDS)] for _ in range(2)) + _TAILS[next(draw) % len(_TAILS)] for _ in part.split("-"))
-    if kind == "email":
-        return f"user{''.join(str(next(draw) % 10) for _ in range(10))}@mail{next(draw) % 10}{next(draw) % 10}.example"
-    out, digits = [], 0
-    for c in part:  # numbers and addresses: digits change, separators and letters' case stay
-        if c.isdigit():
-            digits += 1
-            out.append(c if c == "0" and digits == 1 else str(next(draw) % 9 + 1))
-        elif c.isalpha() and kind == "id_number":
-            out.append(chr(ord("A") + next(draw) % 26))
-        else:
-            out.append(c)
-    if kind == "address":
-        words = part.split(" ")
-        streets = {x for w in _STREETS.lower().split("|") for x in (w, w + ".")}
-        shape = ["".join(o) for o in "".join(out).split(" ")]
-        for i, w in enumerate(words):
-            if w[:1].isalpha() and w.strip(".,") not in streets and len(w) > 3 and w not in ("calle", "avda.", "plaza", "avenue", "chemin", "alte"):
-                shape[i] = _HEADS[next(draw) % len(_HEADS)].lower() + _MIDS[next(draw) % len(_MIDS)] + _TAILS[next(draw) % len(_TAILS)] + ("," if w.endswith(",") else "")
-        return " ".join(shape)
-    return "".join(out)
-
-
-def parts_of(kind: str, value: str) -> list[tuple[str, str]]:
-    """(part kind, lower-case part) of a value; a name has its words, initials have none."""
-    if kind != "name":
-        return [(kind, value.lower())]
-    words = value.replace(",", "").split(" ")
-    if "," in value:
-        words = [*words[1:], words[0]]
-    return [("family" if i == len(words) - 1 else "given", w.lower()) for i, w in enumerate(words) if not (len(w) == 2 and w[1] == ".")]
-
-
-def rebuild(kind: str, value: str, new: dict[str, str]) -> str:
-    """The surrogate of a value in its own format (order, initials, capitals)."""
-    if kind != "name":
-        made = new[f"{kind}|{value.lower()}"]
-        return made.upper() if value.isupper() else made.title() if kind == "address" else made
-    words = value.split(" ")
-    family = 0 if "," in value else len(words) - 1
-    out = []
-    for i, w in enumerate(words):
-        bare = w.rstrip(",")
-        if len(bare) == 2 and bare[1] == ".":
-            out.append(chr(ord("A") + (next(_draw("initial", bare, 0)) % 26)) + "." + w[2:])
-            continue
-        made = new[f"{'family' if i == family else 'given'}|{bare.lower()}"]
-        out.append((made.upper() if bare.isupper() and len(bare) > 1 else made) + w[len(bare) :])
-    return " ".join(out)
+    decided = full.select("run", "lower", "learnt").mapInPandas(run, "run string, value string")
+    # A run that many documents hold meets its names by broadcast.
+    return hot_join(runs, cut(decided), ["run"], kinds).select(key, "value").distinct()
 
 
-def surrogates(found: DataFrame) -> DataFrame:
-    """(kind, value, surrogate) of every distinct found value, collision-free over the corpus.
+def title_genders(scan: DataFrame) -> DataFrame:
+    """(part, gender) of given names that are not listed, by the majority of the forms of address before them in the runs of :func:`scan_text`."""
+    t = F.split(F.lower("value"), "[ .,]+")
+    titles = scan.where("kind = 'run'").select(t.alias("t")).where("size(t) > 2")
+    pairs = titles.select(F.explode(F.expr("transform(sequence(1, size(t) - 2), i -> struct(t[i - 1] as title, t[i] as part))")).alias("x")).select("x.*")
+    of = F.when(F.col("title").isin(*sg.FEMALE_TITLES), 1).when(F.col("title").isin(*sg.MALE_TITLES), -1)
+    votes = pairs.select("part", of.alias("v")).where("v is not null and length(part) > 1").groupBy("part").agg(F.sum("v").alias("v"))
+    return votes.where(~F.col("part").isin(*GIVEN) & (F.col("v") != 0)).select("part", F.when(F.col("v") > 0, "f").otherwise("m").alias("gender"))
 
-    Given names share a small pool, so only other parts must differ from each other:
-    parts whose replacements collide get their rank within the collision as new salt,
-    and what still collides gets the rank written out.
-    """
-    values = cut(found.select("kind", "value").distinct())
 
-    @F.udf("array<struct<k:string,p:string>>")
-    def split(kind, value):
-        return parts_of(kind, value)
+def find(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(``key``, kind, value): every different entity of every text."""
+    return _found(cut(scan_text(df, key, text)), key)
 
-    @F.udf("string")
-    def make(kind, part, salt):
-        return surrogate_part(kind, part, salt)
 
-    links = values.withColumn("x", F.explode(split("kind", "value"))).select("kind", "value", F.col("x.k").alias("k"), F.col("x.p").alias("p"))
-    links = cut(links)
-    w = Window.partitionBy("k", "s").orderBy("p")
-    parts = links.select("k", "p").distinct().withColumn("s", make("k", "p", F.lit(0)))
-    parts = parts.withColumn("r", F.when(F.col("k") == "given", 0).otherwise(F.row_number().over(w) - 1))
-    parts = cut(parts.withColumn("s", F.when(F.col("r") == 0, F.col("s")).otherwise(make("k", "p", F.col("r")))).drop("r"))
-    parts = parts.withColumn("r", F.when(F.col("k") == "given", 0).otherwise(F.row_number().over(w) - 1))
-    parts = parts.withColumn("s", F.when(F.col("r") == 0, F.col("s")).otherwise(F.concat("s", F.col("r").cast("string")))).drop("r")
-    made = links.join(parts, ["k", "p"]).groupBy("kind", "value").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "k", "p"), "s"))).alias("new"))
+def entities(df: DataFrame, key: str, text: str, secret: bytes) -> DataFrame:
+    """(``key``, kind, value, surrogate): every different entity of every text with its replacement."""
+    scan = cut(scan_text(df, key, text))
+    found = cut(_found(scan, key))
+    return hot_join(found, cut(sg.surrogates(found, secret, title_genders(scan))), ["kind", "value"]).select(key, "kind", "value", "surrogate")
 
-    @F.udf("string")
-    def build(kind, value, new):
-        return rebuild(kind, value, new or {})
 
-    return made.select("kind", "value", build("kind", "value", "new").alias("surrogate"))
+def _found(scan: DataFrame, key: str) -> DataFrame:
+    plain = scan.where("kind in ('email', 'phone', 'id_number', 'address')").select(key, "kind", "value")
+    return plain.unionByName(names(scan, key).select(key, F.lit("name").alias("kind"), "value"))
 
 
-def replace(df: DataFrame, key: str, text: str, found: DataFrame, made: DataFrame) -> DataFrame:
-    """(``key``, placeholder_text, surrogate_text); entities of a document travel to it by its key."""
-    per = found.join(made, ["kind", "value"]).groupBy(key).agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("e"))
+def replace(df: DataFrame, key: str, text: str, found: DataFrame) -> DataFrame:
+    """(``key``, placeholder_text, surrogate_text); the :func:`entities` of a document travel to it by its key."""
+    per = found.groupBy(key).agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("e"))
 
     @F.pandas_udf("struct<p:string,s:string>")
     def swap(texts: pd.Series, entities: pd.Series) -> pd.DataFrame:

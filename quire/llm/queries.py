@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, lookalike, packing, pii, quality, scannoise
+from quire.llm import bpe, lookalike, packing, pii, quality, scannoise, surrogates
 from quire.session import cut
 from quire.sources.tables import table
 
@@ -97,21 +97,23 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
 
 
+def _entities(spark: SparkSession, d: str) -> DataFrame:
+    return pii.entities(table(spark, d, "documents"), "doc_id", "text", surrogates.secret_of(spark))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    """Personal information of every document."""
-    return pii.find(table(spark, d, "documents"), "doc_id", "text")
+    """Personal information of every document, as far as it gets a surrogate (all of it does)."""
+    return _entities(spark, d).where("surrogate is not null").select("doc_id", "kind", "value")
 
 
 def p9_surrogates(spark: SparkSession, d: str) -> DataFrame:
-    """The keyed replacement of every distinct value."""
-    return pii.surrogates(p9_found(spark, d))
+    """The keyed replacement of every distinct value, under the key of spark.quire.surrogateKey."""
+    return _entities(spark, d).select("kind", "value", "surrogate").distinct()
 
 
 def p9_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every document with typed placeholders, and with surrogates."""
-    docs = table(spark, d, "documents")
-    found = pii.cut(pii.find(docs, "doc_id", "text"))
-    return pii.replace(docs, "doc_id", "text", found, pii.surrogates(found))
+    return pii.replace(table(spark, d, "documents"), "doc_id", "text", cut(_entities(spark, d)))
 
 
 QUERIES = {
