@@ -97,12 +97,16 @@ HOT_SHARE = 0.001
 def hot_join(many: DataFrame, one: DataFrame, on: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
     """Inner join of ``many`` with ``one`` (a few rows a key) in which no task gets all rows of a frequent key.
 
-    Keys with at least HOT_SHARE of the rows, at most 1 / HOT_SHARE keys by arithmetic, meet their rows of ``one``
-    by broadcast; all others meet by shuffle. ``counts``: keys and their number ``n`` in ``many``, where known.
-    ``many`` is read more than once, so it should be a table or checkpoint. Null keys meet nothing.
+    The rows of a key with at least HOT_SHARE of all are cut into slices of that share by a hash of the whole row, and
+    the key's rows of ``one`` are repeated for each slice; all other keys have one slice. Broadcast is only the list of hot
+    keys, at most 1 / HOT_SHARE rows by arithmetic. ``counts``: keys and their number ``n`` in ``many``, where known.
+    ``many`` is read twice, so it should be a table or checkpoint. Null keys meet nothing.
     """
     on = list(on)
     counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
-    hot = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("__all")))).where(F.col("n") >= HOT_SHARE * F.col("__all")).select(*on)
-    cold = many.join(F.broadcast(hot), on, "left_anti").join(one, on)
-    return cold.unionByName(many.join(F.broadcast(one.join(F.broadcast(hot), on)), on))
+    share = F.col("n") / F.col("__all")
+    hot = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("__all")))).where(share >= HOT_SHARE).select(*on, F.ceil(share / HOT_SHARE).cast("int").alias("__slices"))
+    slices = F.coalesce("__slices", F.lit(1))
+    left = many.join(F.broadcast(hot), on, "left").withColumn("__slice", F.pmod(F.xxhash64(*many.columns), slices).cast("int")).drop("__slices")
+    right = one.join(F.broadcast(hot), on, "left").withColumn("__slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("__slices")
+    return left.join(right, [*on, "__slice"]).drop("__slice")

@@ -76,3 +76,12 @@ def test_repeated_pages_compare_with_kept_ones_only(spark):
     rows = [("r", 1, 1, text), ("r", 2, 2, text), ("r", 3, 3, None), ("r", 4, 4, text + " eight")]
     got = st.repeated_pages(spark.createDataFrame(rows, "run string, k int, p int, t string"), "run", "k", "p", "t", threshold=0.85).collect()
     assert sorted((r.k, r.of) for r in got) == [(2, 1), (4, 1)]
+
+
+def test_hot_join_is_a_plain_inner_join(spark):
+    rows = [("hot", i) for i in range(3_000)] + [(f"k{i}", i) for i in range(1_500)] + [(None, 1)]
+    many = spark.createDataFrame(rows, "k string, v long")
+    one = spark.createDataFrame([("hot", "a"), ("hot", "b"), ("k7", "c"), ("absent", "d"), (None, "e")], "k string, w string")
+    got = sorted((r.k, r.v, r.w) for r in rl.hot_join(many, one, ["k"]).collect())
+    assert got == sorted([("hot", i, w) for i in range(3_000) for w in "ab"] + [("k7", 7, "c")])
+    assert rl.hot_join(many.limit(0), one, ["k"]).count() == 0 == rl.hot_join(many, one.limit(0), ["k"]).count()
