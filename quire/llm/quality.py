@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -271,25 +272,38 @@ def vote_rows(df: DataFrame, src: str, key: str, text: str, common: frozenset[st
 
 
 def text_types(rows: DataFrame) -> DataFrame:
-    """Adds ``text_type``, its posterior weight and the share of list, table and junk characters to :func:`vote_rows`.
+    """:func:`vote_rows` with ``text_type`` (the most probable class), a posterior per class (``p_prose`` and so on, the units weighted
+    by their characters; they sum to 1) and ``other_share``, the posterior of list, table and junk together. Records without a unit have no type.
 
     The patterns collected for EM are distinct vote strings: at most the product of the alphabets' sizes, 6144.
     """
     rows = cut(rows)
     counted = rows.select(F.explode("units").alias("u")).groupBy("u.votes").agg(F.count("*").alias("n")).collect()
     post = learn({r["votes"]: r["n"] for r in counted})
-    if not post:
-        return rows.select("src_table", "rec_key", "chars", F.lit(None).cast("string").alias("text_type"), F.lit(None).cast("double").alias("weight"), F.lit(None).cast("double").alias("other_share"))
-    table = F.create_map(*[x for k, p in sorted(post.items()) for x in (F.lit(k), F.lit(int(np.argmax(p))))])
-    # Characters of each class, a unit counting for its most probable class.
-    rows = rows.withColumn("b", F.transform("units", lambda u: F.struct(u.chars.alias("chars"), table[u.votes].alias("k"))))
-    by_class = [F.expr(f"aggregate(b, 0D, (a, x) -> a + if(x.k = {i}, x.chars, 0))") for i in range(4)]
-    rows = rows.select("src_table", "rec_key", "chars", F.array(*by_class).alias("c"))
-    total = F.col("c")[0] + F.col("c")[1] + F.col("c")[2] + F.col("c")[3]
-    names = F.array(*[F.lit(x) for x in CLASSES])
-    rows = rows.where(total > 0).withColumn("other_share", F.round(1 - F.col("c")[0] / total, 4)).withColumn("weight", F.round(F.array_max("c") / total, 4))
-    top = names[(F.array_position("c", F.array_max("c")) - 1).cast("int")]
-    return rows.select("src_table", "rec_key", "chars", top.alias("text_type"), "weight", "other_share")
+    names = ["src_table", "rec_key", "chars", "text_type", *[f"p_{c}" for c in CLASSES], "other_share"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {k: i for i, k in enumerate(sorted(post))}
+        matrix = np.array([post[k] for k in sorted(post)]).reshape(-1, 4)
+        for batch in batches:
+            units = batch.column(3)
+            flat = units.flatten()
+            owner = np.repeat(np.arange(len(units)), np.asarray(units.value_lengths().fill_null(0)))
+            mass = np.zeros((len(units), 4))
+            if len(flat):
+                codes = pc.dictionary_encode(flat.field("votes"))
+                lookup = np.array([place[v] for v in codes.dictionary.to_pylist()])
+                np.add.at(mass, owner, matrix[lookup[np.asarray(codes.indices)]] * np.asarray(flat.field("chars"))[:, None])
+            total = mass.sum(axis=1)
+            keep = total > 0
+            share = np.round(mass[keep] / total[keep, None], 6)
+            top = pa.array([CLASSES[i] for i in share.argmax(axis=1)] if keep.any() else [], pa.string())
+            some = batch.filter(pa.array(keep))
+            cols = [*some.columns[:3], top, *[pa.array(share[:, i]) for i in range(4)], pa.array(np.round(share[:, 1:].sum(axis=1), 6))]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    schema = "src_table string, rec_key long, chars int, text_type string, " + ", ".join(f"p_{c} double" for c in CLASSES) + ", other_share double"
+    return rows.select("src_table", "rec_key", "chars", "units").mapInArrow(run, schema)
 
 
 def statistics(df: DataFrame, key: str, text: str, common: frozenset[str], html: bool = False) -> DataFrame:

@@ -30,7 +30,7 @@ def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_types(spark: SparkSession, d: str) -> DataFrame:
-    """Text type of every element and page with its weight."""
+    """Text type of every element and page with a posterior per type."""
     return _text_types(spark, d).dropDuplicates(["src_table", "rec_key"])
 
 

@@ -31,6 +31,15 @@ def test_types_from_agreement_alone(spark):
     assert {k: v for k, v in got.items() if k in want} == want and not {1000, 1001, 1002} & set(got)
 
 
+def test_posteriors_of_the_types_sum_to_one(spark):
+    table = [(i, t) for i, t in enumerate(x for texts in TEXTS.values() for x in texts * 9)]
+    got = quality.text_types(rows(spark, table)).collect()
+    assert len(got) == len(table)
+    for r in got:
+        p = [r[f"p_{c}"] for c in quality.CLASSES]
+        assert abs(sum(p) - 1) < 1e-5 and r.text_type == quality.CLASSES[p.index(max(p))] and abs(r.other_share - sum(p[1:])) < 1e-5
+
+
 def test_page_is_what_most_of_it_is(spark):
     items = "".join(f"<li>{x} rope</li>" for x in "old new red blue long".split())
     head = "<header>THE OLD GATE</header>"
