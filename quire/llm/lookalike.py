@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.relational import hot_join
 from quire.session import cut
 
 # Letters of different scripts (Latin first) that look the same.
@@ -38,6 +39,8 @@ LOOKALIKES = (
 )
 # Characters without any width.
 INVISIBLE = "­͏؜᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
+#: Fillers, Mongolian and other variation selectors, tags: they have no width either.
+INVISIBLE_RANGES = ((0x115F, 0x1160), (0x3164, 0x3164), (0xFFA0, 0xFFA0), (0x180B, 0x180D), (0x180F, 0x180F), (0xFE00, 0xFE0F), (0xE0000, 0xE007F), (0xE0100, 0xE01EF))
 HYPHENS = "‐‑"
 
 
@@ -65,6 +68,7 @@ def tables():
     for block in (range(0xFF01, 0xFFEF), range(0xFB00, 0xFB07), range(0x2160, 0x2180)):
         plain |= {o: n for o in block if (n := unicodedata.normalize("NFKC", chr(o))) != chr(o)}
     plain |= {o: " " for o in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}
+    plain |= {o: None for low, high in INVISIBLE_RANGES for o in range(low, high + 1)}
     twin = {(c, script(d)): d for group in LOOKALIKES for c in group for d in group if c != d}
     soft_end, line_end = re.compile("­(?=\\s*\\n)"), re.compile(r"[ \t\r\f\v]+(?=\n|$)")
     token = re.compile(r"[^\W\d_](?:[\w'’̀-ͯ-]*\w)?")
@@ -210,12 +214,18 @@ def consistent_forms(df: DataFrame, key: str, group: str, text: str) -> DataFram
 def same_look_pairs(forms: DataFrame, key: str, group: str) -> DataFrame:
     """(key_a, key_b) of the same group, smaller first, whose forms are equal and stored texts are not.
 
-    Only classes with more than one stored spelling are joined, found by a map-side
-    aggregate; classes of plain copies never meet the join.
+    The spellings of a form are paired first, one row each however many elements share it, and the elements
+    are joined to the pairs of their spelling; two copies of one spelling never meet. The rows of a spelling
+    with many copies are cut into slices.
     """
     hashed = cut(forms.select(key, group, "raw", F.md5("form").alias("form")).dropDuplicates([key]))
-    classes = hashed.groupBy(group, "form").agg(F.min("raw").alias("a"), F.max("raw").alias("b")).where("a <> b").select(group, "form")
-    varied = hashed.join(classes, [group, "form"])
-    left = varied.select(group, "form", F.col("raw").alias("raw_a"), F.col(key).alias("key_a"))
-    right = varied.select(group, "form", F.col("raw").alias("raw_b"), F.col(key).alias("key_b"))
-    return left.join(right, [group, "form"]).where("key_a < key_b and raw_a <> raw_b").select("key_a", "key_b")
+    # A spelling belongs to one form, so the classes need no more than their spellings.
+    spellings = hashed.groupBy(group, "form", "raw").agg(F.count("*").alias("n"))
+    classes = spellings.groupBy(group, "form").agg(F.min("raw").alias("a"), F.max("raw").alias("b")).where("a <> b").select(group, "form")
+    varied = cut(spellings.join(classes, [group, "form"]))
+    pairs = varied.select(group, "form", F.col("raw").alias("raw_b")).join(varied.select(group, "form", "raw"), [group, "form"]).where("raw < raw_b").drop("form")
+    members = cut(hashed.join(varied.select(group, "raw"), [group, "raw"], "left_semi").select(group, "raw", key))
+    counts = varied.select(group, "raw", "n")
+    first = hot_join(members.withColumnRenamed(key, "__a"), pairs, [group, "raw"], counts).select(group, F.col("raw_b").alias("raw"), "__a")
+    both = hot_join(members.withColumnRenamed(key, "__b"), first, [group, "raw"], counts)
+    return both.select(F.least("__a", "__b").alias("key_a"), F.greatest("__a", "__b").alias("key_b"))

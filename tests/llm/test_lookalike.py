@@ -36,3 +36,16 @@ def test_a_repair_needs_the_vocabulary(spark):
     assert {r.form for r in lk.consistent_forms(one, "k", "g", "t").collect()} == {bent + " sleeps", "all sleeps"}
     known = one.union(spark.createDataFrame([(3, "b", "Zanobeki sleeps")], "k long, g string, t string"))
     assert {r.form for r in lk.consistent_forms(known, "k", "g", "t").collect()} == {"Zanobeki sleeps", "all sleeps"}
+
+
+def test_characters_without_width():
+    for c in ("\ufe0f", "\U000e0041", "\u115f", "\u3164", "\uffa0", "\u180b", "\U000e0101"):
+        assert lk.base_form(f"ga{c}te") == "gate", hex(ord(c))
+
+
+def test_pairs_of_a_class_with_many_copies(spark):
+    """One odd spelling among many copies: as many pairs as copies, in linear time."""
+    n = 100_000
+    forms = spark.range(n).selectExpr("id as k", "'b' as g", "'common' as raw", "'form' as form").union(spark.createDataFrame([(n, "b", "odd", "form"), (n + 1, "b", "alone", "other")], "k long, g string, raw string, form string"))
+    pairs = lk.same_look_pairs(forms, "k", "g")
+    assert pairs.count() == n and pairs.where(f"key_b <> {n}").count() == 0
