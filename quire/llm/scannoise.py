@@ -48,7 +48,6 @@ CONFUSIONS = (
 #: A target must be that many times as frequent as the word it replaces.
 RATIO = 10
 MIN_TARGET = 5
-EDGE_CHARS = 80
 #: A running head or page number does not end like a sentence.
 SENTENCE_END = "[.!?:;,][\"'”»)]*$"
 OPEN_END = re.compile(SENTENCE_END)
@@ -56,17 +55,36 @@ OPEN_END = re.compile(SENTENCE_END)
 BROADCAST_ROWS = 200_000
 
 WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
-#: The same words where no sign can stand within one: in any text, and in ASCII text.
+#: The same words where no sign can stand within one.
 PLAIN_WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
-ASCII_WORD = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
 DIVIDED = re.compile(r"((?:[^\W\d_][^\W_]*-)?[^\W_]+)[-¬][^\S\n]*\n\s*([^\W\d_][^\W_]*(?:-[^\W\d_][^\W_]*)*(?![-¬][^\S\n]*\n))")
 WRAP = re.compile(r"[-¬][^\S\n]*\n\s*")
+SENTENCE = re.compile(r"[^\W\d_][.!?][\"'”»)]*(?:\s|$)")
 MARKS = frozenset("-*•–‣◦▪o(0123456789")
+#: All that cannot stand in a word of ASCII text becomes a space.
+SPACED = "".join(chr(c).lower() if chr(c).isalnum() or chr(c) == "-" else " " for c in range(128))
+EDGE_HYPHENS = re.compile("(?<![a-z0-9])-+|-+(?![a-z0-9])|--+")
 
 
-def is_running_text(text: str, words: int, distinct: int, known: int) -> bool:
-    """Whether a text is prose to repair: known words among its distinct words, and no list or table by its lines."""
-    if 6 * known < distinct:
+def ascii_words(text: str) -> list[str]:
+    """The words of ASCII text in lower case: letters and digits, with single hyphens between."""
+    flat = text.translate(SPACED)
+    if "-" in flat:
+        flat = EDGE_HYPHENS.sub(" ", flat)
+    return flat.split()
+
+
+def is_worded(words: list[str], distinct: set[str], text: str) -> bool:
+    """Whether a text whose words the list hardly knows (another language, a book's own names) is made of words all the same: a sentence's
+    length and end, words of sounds and of usual length, and no few ones over and over."""
+    n = len(distinct)
+    return n >= 5 and 3 * n >= len(words) and 2.5 <= sum(map(len, distinct)) / n <= 12 and SENTENCE.search(text) is not None and 5 * sum(map(quality.is_odd, distinct)) <= n
+
+
+def is_running_text(text: str, found: list[str], unlike: set[str], known: int) -> bool:
+    """Whether a text is prose to repair: words among its different ones (``unlike``), and no list or table by its lines."""
+    words, distinct = len(found), len(unlike)
+    if 6 * known < distinct and not is_worded(found, unlike, text):
         return False
     lines = text.count("\n") + 1
     if lines >= 3 and words <= 4.5 * lines and len(quality.CLOSED.findall(text)) <= 0.2 * lines:
@@ -99,17 +117,19 @@ class Reader:
         text = quality.plain(text)
         divided: set[tuple[str, str]] = set()
         flat = text
-        if "\n" in text and ("-" in text or "¬" in text):
+        if "\n" in text and WRAP.search(text):
             divided = {(a.lower(), b.lower()) for a, b in DIVIDED.findall(text)}
             if divided:
                 flat = DIVIDED.sub(" ", text)
-        pattern = WORD if "!" in flat or "|" in flat or "$" in flat else ASCII_WORD if flat.isascii() else PLAIN_WORD
-        words = pattern.findall(flat.lower())
+        if "!" in flat or "|" in flat or "$" in flat:
+            words = WORD.findall(flat.lower())
+        else:
+            words = ascii_words(flat) if flat.isascii() else PLAIN_WORD.findall(flat.lower())
         if not words:
             return set(), set()
         distinct = set(words)
         there = distinct & self.known
-        if not is_running_text(text, len(words), len(distinct), len(there)):
+        if not is_running_text(text, words, distinct, len(there)):
             return set(), set()
         (self.counts if copies == 1 else self.repeated[copies]).update(there)
         return distinct - there, divided
@@ -180,7 +200,7 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                             cut_ |= h
                     n, edges = len(parts), []
                     for place in {0, 1, 2, n - 2, n - 1}:
-                        if 0 <= place < n and len(line := parts[place].text) <= EDGE_CHARS and "\n" not in line and not OPEN_END.search(line):
+                        if 0 <= place < n and "\n" not in (line := parts[place].text) and not OPEN_END.search(line):
                             edges.append({"text": line, "place": place, "count": n, "kind": parts[place].kind})
                     if edges:
                         pages.append((k, run_id, book_id, page, edges))
@@ -325,10 +345,10 @@ def letters_of(c: str) -> Column:
 def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
     """(src_table, rec_key, noise, value) of edge lines: src_table, rec_key, run_id, book_id, page, text, place, count, kind.
 
-    A page is grouped whole (some lines); repetition over a run is counted by key first.
+    A page is grouped whole (some lines, a delivered copy once); repetition over a run is counted by key first.
     """
-    lines = lines.dropDuplicates(["src_table", "rec_key", "place"]).withColumn("text", F.trim(F.regexp_replace("text", r"^[\s ]+|[\s ]+$", "")))
-    lines = lines.withColumn("key", F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")))
+    lines = lines.withColumn("text", F.trim(F.regexp_replace("text", r"^[\s ]+|[\s ]+$", "")))
+    lines = cut(lines.withColumn("key", F.lower(F.regexp_replace("text", r"[^\p{L}]+", " "))))
     tops = lines.where("place <= 1 and length(key) > 4").select("src_table", "run_id", "page", "key").distinct()
     often = tops.groupBy("src_table", "run_id", "key").agg(F.count("*").alias("n"))
     extent = lines.select("src_table", "run_id", "page").distinct().groupBy("src_table", "run_id").agg(F.count("*").alias("pages"))
@@ -387,7 +407,7 @@ def element_edges(df: DataFrame) -> DataFrame:
     """Edge lines of element tables: the first three and last two elements of each page by ``seq``."""
     df = df.select("element_key", "run_id", "book_id", "page", "seq", "text")
     extent = df.groupBy("run_id", "page").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    short = df.where((F.length("text") <= EDGE_CHARS) & ~F.col("text").contains("\n") & ~F.col("text").rlike(SENTENCE_END))
+    short = df.where(~F.col("text").contains("\n") & ~F.col("text").rlike(SENTENCE_END))
     near = short.join(extent, ["run_id", "page"]).where("seq - lo <= 2 or hi - seq <= 1")
     return near.select(
         F.lit("element").alias("src_table"), F.col("element_key").cast("long").alias("rec_key"), "run_id", "book_id", "page", "text",
