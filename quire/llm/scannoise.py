@@ -8,7 +8,8 @@ Misread words. The anagram hash of a word is the sum of the fifth powers of its
 character codes, so replacing ``a`` by ``b`` changes it by a fixed difference. For
 every rare word and every known confusion that can apply, the shifted hash is joined
 with the hashes of frequent words in SQL; the replacement is then verified in place.
-The most frequent target wins. A target must be that much more frequent by records or by
+The most frequent target wins; words that no single confusion explains are tried with two.
+A target must be that much more frequent by records or by
 different texts, so a misread word in a text of many copies is still a rare one.
 
 Divided words. The joined and the hyphenated form are looked up; the more frequent one
@@ -48,6 +49,8 @@ CONFUSIONS = (
 #: A target must be that many times as frequent as the word it replaces.
 RATIO = 10
 MIN_TARGET = 5
+#: Two confusions are undone only in words of that length.
+TWICE_LENGTH = 6
 #: A running head or page number does not end like a sentence.
 SENTENCE_END = "[.!?:;,][\"'”»)]*$"
 OPEN_END = re.compile(SENTENCE_END)
@@ -232,17 +235,32 @@ def _power(s: str) -> int:
     return sum((ord(c) % 1021) ** 5 for c in s)
 
 
+def changed(word: str, a: str, b: str) -> str:
+    """SQL: the words that one replacement of ``a`` by ``b`` in ``word`` gives."""
+    spots = f"filter(sequence(1, length({word}) - length({a}) + 1), i -> substr({word}, i, length({a})) = {a})"
+    return f"transform({spots}, i -> concat(substr({word}, 1, i - 1), {b}, substr({word}, i + length({a}))))"
+
+
 def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(word, target): the most frequent word that one confusion leads to. Both: word, ``n`` records and, if known, different ``texts``."""
+    """(word, target): the most frequent word that one confusion leads to, or else two in a word of some length. Both: word, ``n`` records and, if known, different ``texts``.
+
+    Two confusions meet half way: the words one confusion from a rare word and those one confusion back from a frequent
+    word are joined by hash, so neither side grows with the square of the confusions.
+    """
     rare, frequent = (x if "texts" in x.columns else x.withColumn("texts", F.col("n")) for x in (rare, frequent))
     changes = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(_power(b) - _power(a)).alias("shift")) for a, b in CONFUSIONS])
     shifted = rare.withColumn("x", changes).select("word", "n", "texts", F.explode(F.expr("filter(x, c -> instr(word, c.a) > 0)")).alias("c"), anagram_hash("word").alias("h"))
     shifted = shifted.select("word", "n", "texts", "c.a", "c.b", (F.col("h") + F.col("c.shift")).alias("h"))
     targets = frequent.where(f"n >= {MIN_TARGET}").select(F.col("word").alias("target"), F.col("n").alias("target_n"), F.col("texts").alias("target_texts"), anagram_hash("word").alias("h"))
     often = f"(target_n >= {RATIO} * n or (target_texts >= {MIN_TARGET} and target_texts >= {RATIO} * texts))"
-    met = shifted.join(targets, "h").where(f"{often} and word <> target")
-    met = met.where(F.expr("exists(sequence(1, length(word) - length(a) + 1), i -> substr(word, i, length(a)) = a and concat(substr(word, 1, i - 1), b, substr(word, i + length(a))) = target)"))
-    return met.groupBy("word").agg(F.max(F.struct("target_n", "target")).alias("m")).select("word", F.col("m.target").alias("target"))
+    met = shifted.join(targets, "h").where(f"{often} and word <> target").where(f"array_contains({changed('word', 'a', 'b')}, target)")
+    once = cut(met.groupBy("word").agg(F.max(F.struct("target_n", "target")).alias("m")))
+    back = targets.where(f"length(target) >= {TWICE_LENGTH - 2}").withColumn("x", changes).select("target", "target_n", "target_texts", F.explode(F.expr("filter(x, c -> instr(target, c.b) > 0)")).alias("d"), "h")
+    back = back.select("target", "target_n", "target_texts", F.col("d.a").alias("a2"), F.col("d.b").alias("b2"), (F.col("h") - F.col("d.shift")).alias("h"))
+    left = shifted.where(f"length(word) >= {TWICE_LENGTH}").join(once.select("word"), "word", "left_anti")
+    met = left.join(back, "h").where(f"{often} and word <> target").where(f"arrays_overlap({changed('word', 'a', 'b')}, {changed('target', 'b2', 'a2')})")
+    twice = met.groupBy("word").agg(F.max(F.struct("target_n", "target")).alias("m"))
+    return once.unionByName(twice).select("word", F.col("m.target").alias("target"))
 
 
 def small(df: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from quire.llm import scannoise as sn
@@ -40,6 +42,37 @@ def test_anagram_shift_finds_every_confusion(spark):
     assert sn.corrections(rare.limit(0), frequent).count() == 0
 
 
+def test_two_confusions_in_a_word(spark):
+    """Planted double errors: at least nine of ten come back, and none of the words that two confusions do not explain."""
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice(["ta", "re", "mon", "lig", "ster", "hav", "bun", "ci", "do", "fel", "wind", "gar"]) for _ in range(4)) for _ in range(120)})
+    spoilt = {}
+    for w in words:
+        once = {w[:i] + a + w[i + len(b) :] for a, b in sn.CONFUSIONS for i in range(len(w)) if w.startswith(b, i)}
+        one = rng.choice(sorted(once))
+        two = {one[:i] + a + one[i + len(b) :] for a, b in sn.CONFUSIONS for i in range(len(one)) if one.startswith(b, i)} - once - {w}
+        spoilt[rng.choice(sorted(two))] = w
+    rare = spark.createDataFrame([(x, 1) for x in [*spoilt, "unexplained", "kitchenette"]], "word string, n long")
+    frequent = spark.createDataFrame([(w, 100) for w in words], "word string, n long")
+    got = {r.word: r.target for r in sn.corrections(rare, frequent).collect()}
+    assert set(got) <= set(spoilt) and sum(got.get(x) == w for x, w in spoilt.items()) >= 0.9 * len(spoilt)
+
+
+def test_prose_of_words_that_the_list_lacks(spark):
+    plain = ["the kitchen is cold and you open a gate to the stone"] * 3
+    got = noise(spark, [*plain, "Het huis staat aan de rivier en de keu-\nken is koud.", "zxq wrt kif-\nchn qqp vbn mmn trw. zz"])
+    assert got == {(3, "hyphen", "keuken")}
+
+
+def test_running_heads_of_any_length(spark):
+    head = "The Long and Winding History of the House of the Cold Gate and of All Who Went In and Out of It for Years"
+    schema = "src_table string, rec_key long, run_id string, book_id string, page int, text string, place int, count int, kind string"
+    books = spark.createDataFrame([("b", head)], "book_id string, title string")
+    df = spark.createDataFrame([(p, "r", "b", p, s, head if s == 0 else f"Line {s} of it.") for p in range(2, 6) for s in range(4)], "element_key long, run_id string, book_id string, page int, seq long, text string")
+    got = {(r.rec_key, r.noise) for r in sn.edge_noise(sn.element_edges(df).select(schema.replace(" string", "").replace(" long", "").replace(" int", "").split(", ")), books).collect()}
+    assert got == {(p, "header") for p in range(2, 6)}
+
+
 def lines(spark, rows):
     schema = "src_table string, rec_key long, run_id string, book_id string, page int, text string, place int, count int, kind string"
     books = spark.createDataFrame([("b", "The Cold Gate")], "book_id string, title string")
