@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 from collections.abc import Sequence
-from functools import lru_cache
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,25 +60,63 @@ def fuse(a: str, b: str, known: frozenset[str]) -> str:
     return " ".join(v if bare(u) not in known and bare(v) in known else u for u, v in zip(x, y))
 
 
+# What a cell counts that equals its partner or contains it, and a row whose width is off by more than so many cells.
+SAME_CELL, PART_CELL = 1.0, 0.5
+WIDTH_SLACK, OTHER_WIDTH = 2, 0.1
+
+
 def row_likeness(a: Sequence[str], b: Sequence[str]) -> float:
-    """Share of equal cells; half for a cell inside the other, a tenth if the widths differ by more than two."""
-    if abs(len(a) - len(b)) > 2:
-        return 0.1
-    score = sum(1.0 if x == y else 0.5 if x and y and (x in y or y in x) else 0.0 for x, y in zip(a, b))
-    return score / max(len(a), len(b), 1)
+    """Mean likeness of the cells of two rows, place by place."""
+    longer, shorter = max(len(a), len(b)), min(len(a), len(b))
+    if longer - shorter > WIDTH_SLACK:
+        return OTHER_WIDTH
+    same = [a[i] == b[i] for i in range(shorter)]
+    part = [not s and bool(a[i] and b[i]) and (a[i] in b[i] or b[i] in a[i]) for i, s in enumerate(same)]
+    return (SAME_CELL * sum(same) + PART_CELL * sum(part)) / max(longer, 1)
+
+
+def aligned_rows(golden: Sequence[Sequence[str]], output: Sequence[Sequence[str]], least: float = 0.5) -> list[tuple[int, int]]:
+    """A longest list of like rows in the order of both tables: the longest chain that rises on both sides, among all like pairs."""
+    tails: list[int] = []  # for each length, the least output row that a chain of it ends in
+    ends: list[tuple[int, int, int]] = []  # for each length, (golden, output, index in links of the pair before)
+    links: list[tuple[int, int, int]] = []
+    for i, g in enumerate(golden):
+        for j in reversed([j for j, o in enumerate(output) if row_likeness(g, o) >= least]):
+            n = bisect.bisect_left(tails, j)
+            links.append((i, j, ends[n - 1][2] if n else -1))
+            entry = (i, j, len(links) - 1)
+            if n == len(tails):
+                tails.append(j), ends.append(entry)
+            else:
+                tails[n], ends[n] = j, entry
+    chain, at = [], ends[-1][2] if ends else -1
+    while at >= 0:
+        i, j, at = links[at]
+        chain.append((i, j))
+    return chain[::-1]
+
+
+def table_alignment(golden: Sequence[Sequence[str]], output: Sequence[Sequence[str]], least: float = 0.5) -> float:
+    """Share of golden rows that the longest common alignment finds; without golden rows 1 if there is no output either."""
+    return round(len(aligned_rows(golden, output, least)) / len(golden), 4) if golden else float(not output)
+
+
+def signature(table: Sequence[Sequence[str]], heads: int = 0) -> str:
+    """All cells of a table after its ``heads`` head rows, white space in one form."""
+    return " ".join(x for row in table[heads:] for c in row if (x := " ".join(c.split()).lower()))
 
 
 def match_tables(golden: Sequence[Sequence[Sequence[str]]], output: Sequence[Sequence[Sequence[str]]], least: float = 0.25) -> list[tuple[int, int]]:
-    """Greedy best pairs of tables by the likeness of their rows."""
-    def score(g, o) -> float:
-        return sum(row_likeness(x, y) for x, y in zip(g, o)) / max(len(g), len(o), 1)
-
-    ranked = sorted(((-score(g, o), i, j) for i, g in enumerate(golden) for j, o in enumerate(output)))
-    used_g, used_o, out = set(), set(), []
-    for s, i, j in ranked:
-        if -s >= least and i not in used_g and j not in used_o:
-            used_g.add(i), used_o.add(j), out.append((i, j))
-    return sorted(out)
+    """Pairs of tables: each golden one in turn takes the free output table whose cells are likest, if above ``least``; empty tables match nothing."""
+    free = {j: x for j, o in enumerate(output) if (x := signature(o))}
+    out = []
+    for i, g in enumerate(golden):
+        want = signature(g)
+        ranked = [(difflib.SequenceMatcher(None, want, x).ratio(), -j) for j, x in free.items()] if want else []
+        if ranked and max(ranked)[0] > least:
+            out.append((i, -max(ranked)[1]))
+            del free[out[-1][1]]
+    return out
 
 
 def cell_score(golden: Sequence[Sequence[str]], output: Sequence[Sequence[str]]) -> float:
@@ -131,36 +170,54 @@ def inner_boxes(boxes: Sequence[Sequence[float]], cover: float = 0.9, larger: fl
     return sorted(kept)
 
 
-def best_assignment(score: Sequence[Sequence[float]], most: int = 8) -> list[int]:
-    """Column of each row in the best one-to-one assignment (by bit-mask search), -1 for none; by place above ``most`` rows."""
-    n, m = len(score), len(score[0]) if score else 0
-    if max(n, m) > most:
-        return [i if i < m else -1 for i in range(n)]
+# Fixed value: what a pair on the diagonal gains.
+SAME_PLACE = 0.05
 
-    @lru_cache(maxsize=None)
-    def go(i: int, used: int) -> tuple[float, tuple[int, ...]]:
-        if i == n:
-            return 0.0, ()
-        options = [(go(i + 1, used)[0], (-1, *go(i + 1, used)[1]))]
-        for j in range(m):
-            if not used >> j & 1:
-                s, rest = go(i + 1, used | 1 << j)
-                options.append((s + score[i][j] + (0.05 if i == j else 0.0), (j, *rest)))
-        return max(options, key=lambda x: (x[0], [-v for v in x[1]]))
 
-    return list(go(0, 0)[1])
+def best_assignment(score: Sequence[Sequence[float]]) -> list[int]:
+    """Column of each row in the one-to-one assignment of highest total score, -1 for none; exact at any size.
+
+    Shortest augmenting paths over reduced costs: each row in turn is led to a free column at least cost, moving
+    rows that stand in the way. Every row has a column of its own for "none".
+    """
+    n, m = len(score), len(score[0]) if score else 0
+    if not n:
+        return []
+    gain = np.zeros((n, m + n))
+    gain[:, :m] = score
+    places = np.arange(min(n, m))
+    gain[places, places] += SAME_PLACE
+    cost = gain.max() - gain
+    row_price, column_price = np.zeros(n), np.zeros(m + n)
+    holder, held = np.full(m + n, -1), np.full(n, -1)
+    for row in range(n):
+        way = cost[row] - row_price[row] - column_price
+        via, reached = np.full(m + n, row), np.zeros(m + n, dtype=bool)
+        while True:
+            column = int(np.argmin(np.where(reached, np.inf, way)))
+            if holder[column] < 0:
+                break
+            reached[column] = True
+            moved = holder[column]
+            onward = way[column] + cost[moved] - row_price[moved] - column_price
+            shorter = ~reached & (onward < way)
+            way[shorter], via[shorter] = onward[shorter], moved
+        slack = way[column] - way[reached]
+        column_price[reached] -= slack
+        row_price[holder[reached]] += slack
+        row_price[row] += way[column]
+        while True:
+            taker = via[column]
+            holder[column], held[taker], column = taker, column, held[taker]
+            if taker == row:
+                break
+    return [int(c) if c < m else -1 for c in held]
 
 
 def retention(old: str, new: str, least_recall: float = 0.9, least_length: float = 0.8) -> tuple[bool, float]:
-    """Whether a rewritten text keeps the old one: recall of its tokens (repeats count), and its length where the old text is long."""
-    tokens = old.lower().split()
-    left = new.lower().split()
-    hit = 0
-    for t in tokens:
-        if t in left:
-            left.remove(t)
-            hit += 1
-    recall = round(hit / len(tokens), 4) if tokens else 1.0
+    """Whether a rewritten text keeps the old one: share of its tokens that the new one has at all, and its length where the old text is long."""
+    tokens, there = old.lower().split(), set(new.lower().split())
+    recall = round(sum(t in there for t in tokens) / len(tokens), 4) if tokens else 1.0
     return recall >= least_recall and (len(old) < 120 or len(new) >= least_length * len(old)), recall
 
 

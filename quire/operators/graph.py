@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quire.session import cut
 
 # Digits that scanners take for each other.
-DIGIT_CONFUSIONS = {"0": "68", "1": "7", "2": "7", "3": "8", "4": "9", "5": "6", "6": "058", "7": "12", "8": "0369", "9": "48"}
+DIGIT_CONFUSIONS = {"0": "9", "9": "0", "6": "8", "8": "63", "3": "8", "1": "7", "7": "1", "5": "6", "2": "7"}
 
 
 def incoming(edges: DataFrame, group: Sequence[str], src: str, dst: str) -> DataFrame:

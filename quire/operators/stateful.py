@@ -39,23 +39,35 @@ def greedy_intervals(df: DataFrame, group: str, key: str, start: str, end: str,
     return slim.groupBy(group).applyInPandas(run, slim.schema).select(group, key, F.col("s").alias(start), F.col("e").alias(end))
 
 
-def ascending_scan(df: DataFrame, group: str, key: str, order: Sequence[str], number: str, jump: int) -> DataFrame:
-    """Numbers that go on upwards by at most ``jump``; a kept number is taken back once if the next one fits its predecessor better."""
-    slim = df.select(group, key, *order, F.col(number).cast("long").alias("n")).dropna(subset=["n"])
+def sequential_scan(df: DataFrame, group: str, key: str, page: str, number: str, jump: int = 10, pages: int = 3) -> DataFrame:
+    """Numbers that rise over the pages of a group, by page and number.
+
+    A higher number is kept if it comes on a later page or within ``jump`` of the last kept one. A number not above
+    the last kept one takes its place if it is at most ``jump`` below and at most ``pages`` later; a number kept
+    already is passed over.
+    """
+    slim = df.select(group, key, F.col(page).cast("long").alias("p"), F.col(number).cast("long").alias("n")).dropna(subset=["p", "n"])
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values([*order, key])
+        f = f.sort_values(["p", "n", key])
         kept: list[int] = []
-        values = f["n"].to_list()
-        for i, n in enumerate(values):
-            last = values[kept[-1]] if kept else 0
-            if last < n <= last + jump:
-                kept.append(i)
-            elif len(kept) >= 2 and n <= last and values[kept[-2]] < n <= values[kept[-2]] + jump and n - values[kept[-2]] < last - values[kept[-2]]:
-                kept[-1] = i  # one step back
+        held: set[int] = set()
+        at_page = at_number = 0
+        for i, (p, n) in enumerate(zip(f["p"].to_list(), f["n"].to_list(), strict=True)):
+            rises, later = n - at_number, p - at_page
+            goes_on = rises > 0 and (later > 0 or rises <= jump)
+            replaces = rises <= 0 and bool(kept) and -rises <= jump and 0 <= later <= pages
+            if n in held or not (goes_on or replaces):
+                continue
+            if replaces:
+                held.discard(at_number)
+                kept.pop()
+            kept.append(i)
+            held.add(n)
+            at_page, at_number = p, n
         return f.iloc[kept]
 
-    return slim.groupBy(group).applyInPandas(run, slim.schema).select(group, key, F.col("n").alias(number))
+    return slim.groupBy(group).applyInPandas(run, slim.schema).select(group, key, F.col("p").alias(page), F.col("n").alias(number))
 
 
 def repeated_pages(df: DataFrame, group: str, key: str, order: str, text: str, look_back: int = 3, threshold: float = 0.9, min_tokens: int = 5) -> DataFrame:
@@ -90,64 +102,52 @@ def repeated_pages(df: DataFrame, group: str, key: str, order: str, text: str, l
     return slim.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, of {kinds[key]}, similarity double")
 
 
-def columns_of(df: DataFrame, group: Sequence[str], key: str, x: str, rounds: int = 5, least: int = 4) -> DataFrame:
-    """Two text columns by 2-means on x, where each side has enough lines; else one column."""
+def columns_of(df: DataFrame, group: Sequence[str], key: str, x: str, rounds: int = 5, least: int = 4, spread: float = 0.2, gap: float = 0.12) -> DataFrame:
+    """Two text columns: by 2-means on x where the lines spread far enough, or else at the widest gap; each side needs ``least`` lines, else there is one column."""
     slim = df.select(*group, key, F.col(x).cast("double").alias("x")).dropna(subset=["x"])
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         v = f["x"].to_numpy()
-        a, b = v.min(), v.max()
-        side = np.zeros(len(v), dtype=int)
-        for _ in range(rounds):
-            side = (np.abs(v - a) > np.abs(v - b)).astype(int)
-            if side.any() and not side.all():
-                a, b = v[side == 0].mean(), v[side == 1].mean()
-        if min((side == 0).sum(), (side == 1).sum()) < least:
-            side[:] = 0
-        return f.drop(columns="x").assign(column=side.astype("int32"))
+        enough = lambda right: least <= right.sum() <= len(right) - least
+        side = np.zeros(len(v), dtype=bool)
+        if np.ptp(v) > spread:
+            centres = np.array([v.min(), v.max()])
+            nearer_right = lambda: np.abs(v - centres[1]) < np.abs(v - centres[0])
+            for _ in range(rounds):
+                right = nearer_right()
+                centres = np.array([v[~right].mean() if not right.all() else centres[0], v[right].mean() if right.any() else centres[1]])
+            side = nearer_right()
+        if not enough(side):
+            edges = np.sort(v)
+            steps = np.diff(edges)
+            side = v >= edges[steps.argmax() + 1] if len(steps) and steps.max() >= gap else np.zeros(len(v), dtype=bool)
+        return f.drop(columns="x").assign(column=(side & enough(side)).astype("int32"))
 
     fields = ", ".join(f"{c} {t}" for c, t in slim.dtypes if c != "x")
     return slim.groupBy(*group).applyInPandas(run, f"{fields}, column int")
 
 
-def distinct_boxes(df: DataFrame, group: str, key: str, threshold: float = 0.95) -> DataFrame:
-    """Boxes (x0, y0, x1, y1) of a page without near-equal ones; the first by key stays."""
+def distinct_boxes(df: DataFrame, group: str, key: str, threshold: float = 0.95, centre: float = 10.0, size: float = 0.02) -> DataFrame:
+    """Boxes (x0, y0, x1, y1) of a page without near-equal ones; the first by key stays. Near-equal are boxes that overlap by
+    ``threshold``, or whose centres are at most ``centre`` apart each way and whose sides (one at least) differ by at most the share ``size``."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(key)
-        kept: list[np.ndarray] = []
-        keep = []
-        for b in f[["x0", "y0", "x1", "y1"]].to_numpy():
-            hit = False
-            for k in kept:
-                w, h = min(b[2], k[2]) - max(b[0], k[0]), min(b[3], k[3]) - max(b[1], k[1])
-                both = max(0, w) * max(0, h)
-                union = (b[2] - b[0]) * (b[3] - b[1]) + (k[2] - k[0]) * (k[3] - k[1]) - both
-                hit |= union > 0 and both / union >= threshold
-            keep.append(not hit)
-            if not hit:
-                kept.append(b)
-        return f[np.array(keep, dtype=bool)]
+        boxes = f[["x0", "y0", "x1", "y1"]].to_numpy()
+        middles = (boxes[:, :2] + boxes[:, 2:]) / 2
+        sides = boxes[:, 2:] - boxes[:, :2]
+        wide = np.maximum(sides, 1)
+        kept: list[int] = []
+        for i in range(len(boxes)):
+            k = np.array(kept, dtype=int)
+            meet = np.clip(np.minimum(boxes[k, 2:], boxes[i, 2:]) - np.maximum(boxes[k, :2], boxes[i, :2]), 0, None).prod(axis=1)
+            union = sides[k].prod(axis=1) + sides[i].prod() - meet
+            over = (union > 0) & (meet >= threshold * union)
+            close = (np.abs(middles[k] - middles[i]) <= centre).all(axis=1)
+            alike = (np.abs(wide[k] - wide[i]) <= size * np.maximum(wide[k], wide[i])).all(axis=1)
+            if not (over | (close & alike)).any():
+                kept.append(i)
+        return f.iloc[kept]
 
     slim = df.select(group, key, *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
     return slim.groupBy(group).applyInPandas(run, slim.schema).select(group, key)
-
-
-def table_alignment(golden: list[list[str]], output: list[list[str]], least: float = 0.5) -> float:
-    """Share of golden rows that a longest common alignment of like rows finds."""
-
-    def alike(a: list[str], b: list[str]) -> float:
-        if abs(len(a) - len(b)) > 2:
-            return 0.1
-        n = max(len(a), len(b), 1)
-        return sum(1.0 if x == y else 0.5 if x and y and (x in y or y in x) else 0.0 for x, y in zip(a, b)) / n
-
-    if not golden:
-        return 1.0 if not output else 0.0
-    prev = [0] * (len(output) + 1)
-    for g in golden:
-        row = [0]
-        for j, o in enumerate(output):
-            row.append(prev[j] + 1 if alike(g, o) >= least else max(prev[j + 1], row[j]))
-        prev = row
-    return round(prev[-1] / len(golden), 4)

@@ -32,6 +32,21 @@ def _boundaries(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "section_boundaries_scan").select(*cols).dropDuplicates(["boundary_key"])
 
 
+#: Place in document order of what names no element of its run: after all others.
+NOWHERE = 2**31 - 1
+
+
+def _boundaries_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Boundaries with ``start_seq``, the reading order of their start element; ids of a page need not follow it."""
+    el = table(spark, d, ELEMENTS).groupBy("run_id", F.col("id").alias("start_element_id")).agg(F.min("seq").alias("start_seq"))
+    return _boundaries(spark, d).join(el, ["run_id", "start_element_id"], "left").withColumn("start_seq", F.coalesce("start_seq", F.lit(NOWHERE)))
+
+
+def _latest_pages(spark: SparkSession, d: str) -> DataFrame:
+    """run_id, page and the ``html`` of the latest reading of each page."""
+    return table(spark, d, "pages_html").where("html is not null").groupBy("run_id", "page").agg(F.max_by("html", "page_key").alias("html"))
+
+
 def _elements(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     return table(spark, d, ELEMENTS).select("element_key", *cols).dropDuplicates(["element_key"])
 
@@ -177,8 +192,7 @@ def page_elements_vs_html(spark, d):
     """Per page: token overlap of both engines' readings, below nine tenths only."""
     el = _elements(spark, d, "run_id", "page", "text").groupBy("run_id", "page").agg(F.collect_set(F.lower("text")).alias("t"))
     el = el.select("run_id", "page", sq.token_set(F.array_join("t", " ")).alias("a"))
-    pg = table(spark, d, "pages_html").groupBy("run_id", "page").agg(F.max("html").alias("html"))
-    pg = pg.select("run_id", "page", sq.token_set(tx.strip_tags(F.col("html"))).alias("b"))
+    pg = _latest_pages(spark, d).select("run_id", "page", sq.token_set(tx.strip_tags(F.col("html"))).alias("b"))
     return el.join(pg, ["run_id", "page"]).select("run_id", "page", F.round(sq.jaccard(F.col("a"), F.col("b")), 4).alias("overlap")).where("overlap < 0.9")
 
 
@@ -188,8 +202,8 @@ def page_elements_vs_html(spark, d):
 @query
 def boundary_spans_next_start(spark, d):
     """Each boundary with the start of the next one in document order."""
-    b = _boundaries(spark, d)
-    return sq.next_value(b, ["run_id"], ["start_element_id", "boundary_key"], "start_element_id", "next_start").select("boundary_key", "run_id", "section_id", "start_element_id", "next_start")
+    b = _boundaries_in_order(spark, d)
+    return sq.next_value(b, ["run_id"], ["start_seq", "boundary_key"], "start_element_id", "next_start").select("boundary_key", "run_id", "section_id", "start_element_id", "next_start")
 
 
 @query
@@ -202,8 +216,8 @@ def header_body_score(spark, d):
 @query
 def keep_earliest_within_50(spark, d):
     """Per section the earliest boundary whose score is near the best."""
-    b = _boundaries(spark, d).withColumn("score", (F.col("confidence") * 1000).cast("int"))
-    return sq.earliest_near_best(b, ["run_id", "section_id"], "score", ["start_element_id", "boundary_key"]).select("run_id", "section_id", "boundary_key", "score")
+    b = _boundaries_in_order(spark, d).withColumn("score", (F.col("confidence") * 1000).cast("int"))
+    return sq.earliest_near_best(b, ["run_id", "section_id"], "score", ["start_seq", "boundary_key"]).select("run_id", "section_id", "boundary_key", "score")
 
 
 @query
@@ -225,8 +239,8 @@ def page_number_inference(spark, d):
 @query
 def ordering_conflicts(spark, d):
     """Boundaries whose section number is below the previous one in document order."""
-    b = _boundaries(spark, d).where("section_id rlike '^[0-9]+$'").withColumn("n", F.col("section_id").cast("int"))
-    return sq.decreases(b, ["run_id"], ["start_element_id", "boundary_key"], "n").select("boundary_key", "n", "previous")
+    b = _boundaries_in_order(spark, d).where("section_id rlike '^[0-9]+$'").withColumn("n", F.col("section_id").cast("int"))
+    return sq.decreases(b, ["run_id"], ["start_seq", "boundary_key"], "n").select("boundary_key", "n", "previous")
 
 
 @query
@@ -346,8 +360,8 @@ def no_choice_sections(spark, d):
 
 @query
 def duplicate_sections(spark, d):
-    """Sections alive under several keys."""
-    g = table(spark, d, "gamebook_sections").where("deleted_at is null").select("run_id", "section_id", "section_key").distinct()
+    """Sections that a run holds under several keys, deleted ones included."""
+    g = table(spark, d, "gamebook_sections").select("run_id", "section_id", "section_key").distinct()
     return g.groupBy("run_id", "section_id").agg(F.count("*").alias("keys")).where("keys > 1")
 
 
@@ -484,9 +498,11 @@ def ending_kinds(spark, d):
 @query
 def vocabulary_ratio(spark, d):
     """Share of a document's distinct words that the word list has."""
-    words = table(spark, d, "documents").select("doc_id", F.explode(sq.token_set(F.coalesce("text", F.lit("")))).alias("w"))
-    known = table(spark, d, "word_list").select(F.lower("word").alias("w")).distinct().withColumn("k", F.lit(1))
-    return words.join(known, "w", "left").groupBy("doc_id").agg(F.count("*").alias("words"), F.round(F.count("k") / F.count("*"), 4).alias("in_vocabulary"))
+    # The word list is one row of a fixed number of words, so every document is judged where it is read.
+    known = table(spark, d, "word_list").agg(F.collect_set(F.lower("word")).alias("known"))
+    words = table(spark, d, "documents").select("doc_id", sq.token_set(F.coalesce("text", F.lit(""))).alias("w")).where("size(w) > 0")
+    share = F.size(F.array_intersect("w", "known")) / F.size("w")
+    return words.crossJoin(F.broadcast(known)).select("doc_id", F.size("w").alias("words"), F.round(share, 4).alias("in_vocabulary"))
 
 
 @query
@@ -544,7 +560,7 @@ def model_ranking(spark, d):
     )
     best = s.agg(F.min("latency").alias("fastest"), F.min("cost").alias("cheapest"))
     front = sc.pareto_front(s, "model", "quality", ["latency", "cost"])
-    scored = front.join(F.broadcast(best))  # one row
+    scored = front.crossJoin(F.broadcast(best))  # one row
     return scored.select("model", "quality", "latency", "cost", sc.three_part_score(F.col("quality"), F.col("latency"), F.col("cost"), F.col("fastest"), F.col("cheapest")).alias("score"))
 
 

@@ -188,9 +188,9 @@ def greedy_spans(spark, d):
 
 @query
 def sequential_sections(spark, d):
-    """Boundaries that go on upwards in document order."""
+    """Boundaries whose numbers go on upwards over the pages, stray ones left out."""
     b = _boundaries(spark, d).where("section_id rlike '^[0-9]+$'").withColumn("n", F.col("section_id").cast("int"))
-    return st.ascending_scan(b, "run_id", "boundary_key", ["start_element_id"], "n", 20)
+    return st.sequential_scan(b, "run_id", "boundary_key", "start_page", "n")
 
 
 @query
@@ -209,8 +209,8 @@ def text_columns(spark, d):
 
 @query
 def distinct_boxes(spark, d):
-    """Boxes of a label without near-equal ones."""
-    v = lambda i: F.abs(F.col("embedding")[i])
+    """Boxes of a label without near-equal ones; components of the embedding times 1,000 stand for pixels."""
+    v = lambda i: F.abs(F.col("embedding")[i]) * 1000
     e = table(spark, d, "embeddings").select("vec_id", "label", v(0).alias("x0"), v(1).alias("y0"), (v(0) + v(2)).alias("x1"), (v(1) + v(3)).alias("y1"))
     return st.distinct_boxes(e, "label", "vec_id")
 
@@ -331,13 +331,11 @@ def revenue_by_nation(spark, d):
 def previous_event(spark, d):
     """Each event with the latest event of another kind by the same user before it (as-of)."""
     e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
-    w = sq.ordered(["user_id"], "ts", "event_id").rowsBetween(sq.Window.unboundedPreceding, -1)
-    kinds = ["click", "view", "purchase", "error", "signup"]
-    # Latest per kind by a running maximum, then the latest among the other kinds.
-    last = [F.max(F.when(F.col("event_type") == k, F.struct("ts", "event_id"))).over(w).alias(f"k{i}") for i, k in enumerate(kinds)]
-    x = e.select("event_id", "event_type", *last)
-    other = F.greatest(*[F.when(F.col("event_type") != k, F.col(f"k{i}")) for i, k in enumerate(kinds)])
-    return x.select("event_id", other["event_id"].alias("previous_id"))
+    w = sq.ordered(["user_id"], "ts", "event_id")
+    # At the first event of a stretch of one kind the row before is of another; the rest of the stretch has the same answer.
+    x = e.withColumn("before", F.lag(F.struct("event_id", "event_type")).over(w))
+    first = F.when(F.col("before").isNull() | (F.col("before.event_type") != F.col("event_type")), F.struct(F.col("before.event_id").alias("id")))
+    return x.withColumn("first", first).select("event_id", F.last("first", ignorenulls=True).over(w.rowsBetween(sq.Window.unboundedPreceding, 0))["id"].alias("previous_id"))
 
 
 @query

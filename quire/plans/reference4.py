@@ -9,7 +9,7 @@ from quire.functions import text as tx
 from quire.operators import choices as ch
 from quire.operators import nested as ne
 from quire.operators import sequences as sq
-from quire.plans.reference import _elements, _portions
+from quire.plans.reference import _elements, _latest_pages, _portions
 from quire.sources.tables import table
 
 QUERIES = {}
@@ -67,7 +67,7 @@ def sampled_pages(spark, d):
 def engine_disagreement(spark, d):
     """Unlikeness of both readings of a page, whole texts but for the white space."""
     e = _elements(spark, d, "run_id", "page", "seq", "text").groupBy("run_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x.text), " ").alias("a"))
-    p = _pages(spark, d).groupBy("run_id", "page").agg(F.max(tx.strip_tags(F.col("html"))).alias("b"))
+    p = _latest_pages(spark, d).select("run_id", "page", tx.strip_tags(F.col("html")).alias("b"))
     whole = lambda c: F.trim(F.regexp_replace(c, "\\s+", " "))
     return e.join(p, ["run_id", "page"]).select("run_id", "page", al.disagreement_column(whole("a"), whole("b")).alias("disagreement"))
 

@@ -13,6 +13,8 @@ def section(c: str) -> str:
 
 P = """p as (select distinct portion_key, run_id, portion_id, section_id, module_id, page_start, page_end, confidence, continuation_of, continuation_confidence from enriched_portions)"""
 B = """b as (select distinct boundary_key, run_id, section_id, start_element_id, end_element_id, start_page, start_line_idx, confidence, method from section_boundaries_scan)"""
+# Boundaries in the reading order of their start element; what names no element of its run comes last.
+BS = B + """, bs as (select b.*, coalesce(q.seq, 2147483647) as start_seq from b left join (select run_id, id, min(seq) as seq from elements_core_content_types_rubric_v1 group by 1, 2) q on q.run_id = b.run_id and q.id = b.start_element_id)"""
 EL = "el as (select distinct element_key, run_id, id, seq, page, page_number, kind, text, content_type from elements_core_content_types_rubric_v1)"
 NODES = f"""nodes as (select run_id, {section('section_id')} as section, bool_or(is_gameplay_section) as is_gameplay_section, bool_or(end_game) as end_game
   from gamebook_sections where deleted_at is null group by 1, 2)"""
@@ -52,10 +54,13 @@ missing as (select run_id, cast(n as int) as n from (select run_id, unnest(range
   where not exists (select 1 from nums k where k.run_id = m.run_id and k.n = m.n))"""
 
 
-def bfs(start: str, src: str, dst: str) -> str:
+LONGEST = "(select max(n) from (select count(*) as n from nodes group by run_id))"
+
+
+def bfs(start: str, src: str, dst: str, depth: str) -> str:
     return f"""with recursive {NODES}, {EDGES},
 walk as (select run_id, section as node, 0 as depth from nodes where {start}
-  union select w.run_id, e.{dst}, w.depth + 1 from walk w join edges e on e.run_id = w.run_id and e.{src} = w.node where w.depth < 20)
+  union select w.run_id, e.{dst}, w.depth + 1 from walk w join edges e on e.run_id = w.run_id and e.{src} = w.node where w.depth < {depth})
 select run_id, node, min(depth) as depth from walk group by 1, 2"""
 
 
@@ -96,13 +101,13 @@ SQL: dict[str, str] = {
     "preference_merge_boundaries": f"""with {B} select run_id, section_id, boundary_key from b where exists (select 1 from elements_core_content_types_rubric_v1 e where e.run_id = b.run_id and e.id = b.start_element_id)
       qualify row_number() over (partition by run_id, section_id order by (method is null), confidence desc, boundary_key) = 1""",
     "page_elements_vs_html": f"""with a as (select run_id, page, {TOKENS.format(c="string_agg(text, ' ')")} as a from elements_core_content_types_rubric_v1 group by 1, 2),
-        g as (select run_id, page, {TOKENS.format(c=STRIP.format(c="max(html)"))} as b from pages_html group by 1, 2)
+        g as (select run_id, page, {TOKENS.format(c=STRIP.format(c="arg_max(html, page_key)"))} as b from pages_html where html is not null group by 1, 2)
       select run_id, page, round({jaccard('a', 'b')}, 4) as overlap from a join g using (run_id, page) where round({jaccard('a', 'b')}, 4) < 0.9""",
-    "boundary_spans_next_start": f"with {B} select boundary_key, run_id, section_id, start_element_id, lead(start_element_id) over (partition by run_id order by start_element_id, boundary_key) as next_start from b",
+    "boundary_spans_next_start": f"with {BS} select boundary_key, run_id, section_id, start_element_id, lead(start_element_id) over (partition by run_id order by start_seq, boundary_key) as next_start from bs",
     "header_body_score": f"""with {EL}, h as (select *, regexp_full_match(trim(text), '[0-9]{{1,3}}') as h from el where text is not null), n as (select *, sum(h::int) over (partition by run_id order by seq rows unbounded preceding) as header_no from h)
       select run_id, header_no, coalesce(sum(least(200, length(text))) filter (not h), 0) as score, count(*) filter (not h) as body_rows from n where header_no > 0 group by 1, 2""",
-    "keep_earliest_within_50": f"""with {B}, s as (select *, cast(trunc(confidence * 1000) as int) as score from b), t as (select *, max(score) over (partition by run_id, section_id) as top from s)
-      select run_id, section_id, boundary_key, score from t where score >= top - 50 qualify row_number() over (partition by run_id, section_id order by start_element_id, boundary_key) = 1""",
+    "keep_earliest_within_50": f"""with {BS}, s as (select *, cast(trunc(confidence * 1000) as int) as score from bs), t as (select *, max(score) over (partition by run_id, section_id) as top from s)
+      select run_id, section_id, boundary_key, score from t where score >= top - 50 qualify row_number() over (partition by run_id, section_id order by start_seq, boundary_key) = 1""",
     "pattern_regions": """with m as (select run_id, page, max(coalesce(content_type in ('Page-header', 'Page-footer'), false)::int) as marked from elements_core_content_types_rubric_v1 group by 1, 2),
         c as (select *, coalesce((marked <> lag(marked) over (partition by run_id order by page))::int, 1) as fresh from m), i as (select *, sum(fresh) over (partition by run_id order by page) as region from c)
       select run_id, region, marked, min(page) as first_page, max(page) as last_page, count(*) as pages from i group by 1, 2, 3""",
@@ -112,7 +117,7 @@ SQL: dict[str, str] = {
               window w as (partition by run_id order by page rows between unbounded preceding and current row), v as (partition by run_id order by page rows between current row and unbounded following))
       select run_id, page, page_number, case when page_number is not null then page_number when bi is not null and ai is not null then case when an - bn = ai - bi then bn + i - bi end
         when bi is not null then bn + i - bi when ai is not null and an - (ai - i) >= 1 then an - (ai - i) end as inferred from k""",
-    "ordering_conflicts": f"""with {B}, n as (select *, cast(section_id as int) as n from b where regexp_full_match(section_id, '[0-9]+')), l as (select *, lag(n) over (partition by run_id order by start_element_id, boundary_key) as previous from n)
+    "ordering_conflicts": f"""with {BS}, n as (select *, cast(section_id as int) as n from bs where regexp_full_match(section_id, '[0-9]+')), l as (select *, lag(n) over (partition by run_id order by start_seq, boundary_key) as previous from n)
       select boundary_key, n, previous from l where n < previous""",
     "section_run_lengths": """with n as (select distinct run_id, start_page, cast(section_id as int) as n from section_boundaries_scan where regexp_full_match(section_id, '[0-9]+') and start_page is not null),
         g as (select *, n - row_number() over (partition by run_id, start_page order by n) as g from n)
@@ -134,17 +139,17 @@ SQL: dict[str, str] = {
     "incoming_references": f"with {EDGES} select run_id, dst, count(*) as \"references\", count(distinct src) as sources from edges group by 1, 2",
     "orphan_sections": f"with {NODES}, {EDGES}, {ORPHANS.format(x="'1', 'background', 'intro', 'rules'")} select * from orphans",
     "broken_links": f"with {NODES}, {EDGES}, {BROKEN} select * from broken",
-    "reachable_sections": bfs("section in ('1', 'background')", "src", "dst"),
-    "reverse_paths_to_end": bfs("end_game", "dst", "src"),
+    "reachable_sections": bfs("section in ('1', 'background')", "src", "dst", LONGEST),
+    "reverse_paths_to_end": bfs("end_game", "dst", "src", "20"),
     "orphan_confusions": f"""with {NODES}, {EDGES}, {ORPHANS.format(x="'1', 'background'")},
-        c(a, b) as (values ('0', '6'), ('0', '8'), ('1', '7'), ('2', '7'), ('3', '8'), ('4', '9'), ('5', '6'), ('6', '0'), ('6', '5'), ('6', '8'), ('7', '1'), ('7', '2'), ('8', '0'), ('8', '3'), ('8', '6'), ('8', '9'), ('9', '4'), ('9', '8')),
+        c(a, b) as (values ('0', '9'), ('9', '0'), ('6', '8'), ('8', '6'), ('8', '3'), ('3', '8'), ('1', '7'), ('7', '1'), ('5', '6'), ('2', '7')),
         o as (select run_id, section, unnest(range(1, length(section) + 1)) as i from orphans where regexp_full_match(section, '[0-9]+')),
         m as (select distinct run_id, section, substr(section, 1, i - 1) || b || substr(section, i + 1) as dst from o join c on c.a = substr(section, i, 1))
       select run_id, section, dst from m where dst not like '0%' and exists (select 1 from edges e where e.run_id = m.run_id and e.dst = m.dst)""",
     "no_choice_sections": """select distinct section_key, run_id, section_id from gamebook_sections where is_gameplay_section and not end_game and deleted_at is null
       and not coalesce(len(list_filter(sequence, lambda e: e.kind = 'choice' and e.targetSection is not null and trim(e.targetSection) <> '')) > 0, false)
       and not coalesce(len(list_filter(sequence, lambda e: e.outcomes.win.targetSection is not null or e.outcomes.lose.targetSection is not null)) > 0, false)""",
-    "duplicate_sections": "select run_id, section_id, count(distinct section_key) as keys from gamebook_sections where deleted_at is null group by 1, 2 having count(distinct section_key) > 1",
+    "duplicate_sections": "select run_id, section_id, count(distinct section_key) as keys from gamebook_sections group by 1, 2 having count(distinct section_key) > 1",
     "empty_sections": f"select distinct section_key from gamebook_sections where {STRIP.format(c='html')} = ''",
     "outcome_targets": f"""with {NODES}, e as (select run_id, section_key, unnest(sequence) as e from gamebook_sections where deleted_at is null),
         t as (select run_id, section_key, unnest([e.outcomes.win.targetSection, e.outcomes.lose.targetSection]) as t from e where e.kind = 'combat'), k as (select distinct run_id, section_key, {section('t')} as section from t)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+from itertools import product
 from pathlib import Path
 
 import pytest
@@ -10,6 +12,7 @@ from quire.functions import text as tx
 from quire.operators import choices as ch
 from quire.operators import elements as em
 from quire.operators import extract as ex
+from quire.operators import stateful as st
 from quire.operators import validate as va
 from quire.sources import bundle, engines
 
@@ -34,6 +37,42 @@ def test_tables_and_boxes():
     assert al.retention("a b c", "a b") == (False, 0.6667)
 
 
+def test_rows_and_tables_aligned():
+    assert al.table_alignment([["a", "b"], ["c", "d"]], [["a", "b"], ["x", "y"], ["c", "d"]]) == 1.0
+    assert al.table_alignment([], []) == 1.0 and al.table_alignment([["a"]], []) == 0.0
+    rng = random.Random(1)
+    for _ in range(200):
+        g, o = ([[rng.choice("abc"), rng.choice("xy")] for _ in range(rng.randint(0, 7))] for _ in range(2))
+        best = [[0] * (len(o) + 1) for _ in range(len(g) + 1)]
+        for i, j in product(range(len(g)), range(len(o))):
+            best[i + 1][j + 1] = best[i][j] + 1 if al.row_likeness(g[i], o[j]) >= 0.75 else max(best[i][j + 1], best[i + 1][j])
+        chain = al.aligned_rows(g, o, 0.75)
+        assert len(chain) == best[-1][-1] and all(al.row_likeness(g[i], o[j]) >= 0.75 for i, j in chain)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(chain, chain[1:]))
+
+
+def test_best_assignment_is_the_best_of_all():
+    rng = random.Random(2)
+    for _ in range(150):
+        n, m = rng.randint(1, 5), rng.randint(1, 5)
+        score = [[rng.choice([-0.5, 0, rng.random()]) for _ in range(m)] for _ in range(n)]
+        worth = lambda cols: sum(score[i][j] + al.SAME_PLACE * (i == j) for i, j in enumerate(cols) if j >= 0)  # noqa: B023, E731
+        every = [c for c in product(range(-1, m), repeat=n) if len({j for j in c if j >= 0}) == sum(j >= 0 for j in c)]
+        assert abs(worth(al.best_assignment(score)) - max(map(worth, every))) < 1e-9
+    big = [[float((7 * i) % 12 == j) for j in range(12)] for i in range(12)]
+    assert al.best_assignment(big) == [(7 * i) % 12 for i in range(12)]
+
+
+def test_columns_and_boxes(spark):
+    x = [(1, 0.1 + i / 100) for i in range(5)] + [(1, 0.8 + i / 100) for i in range(5)] + [(2, 0.30), (2, 0.31), (2, 0.32), (2, 0.33), (2, 0.46), (2, 0.47), (2, 0.48), (2, 0.49)] + [(3, 0.1), (3, 0.9)]
+    df = spark.createDataFrame([(g, i, v) for i, (g, v) in enumerate(x)], "g int, k int, x double")
+    got = {(r.g, r.k): r.column for r in st.columns_of(df, ["g"], "k", "x").collect()}
+    assert got == {(1, i): int(i >= 5) for i in range(10)} | {(2, i): int(i >= 14) for i in range(10, 18)} | {(3, 18): 0, (3, 19): 0}
+    boxes = [(1, 0.0, 0.0, 100.0, 100.0), (2, 1.0, 1.0, 101.0, 101.0), (3, 0.0, 0.0, 150.0, 100.0), (4, 9.0, 9.0, 109.0, 109.0), (5, 11.0, 0.0, 111.0, 100.0)]
+    b = spark.createDataFrame([("p", *r) for r in boxes], "g string, k int, x0 double, y0 double, x1 double, y1 double")
+    assert {r.k for r in st.distinct_boxes(b, "g", "k").collect()} == {1, 3, 5}
+
+
 def test_choices(spark):
     df = spark.createDataFrame([(1, '<p>If you run, turn\nto <a href="#16">16</a> or go to 61.</p>'), (2, None), (3, "")], "k int, html string")
     c = ch.candidates(df, "k", "html")
