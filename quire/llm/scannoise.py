@@ -55,7 +55,7 @@ TWICE_LENGTH = 6
 SENTENCE_END = "[.!?:;,][\"'”»)]*$"
 OPEN_END = re.compile(SENTENCE_END)
 #: Tables of words up to that many rows are broadcast, larger ones joined by shuffle.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 
 WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
 #: The same words where no sign can stand within one.
