@@ -221,6 +221,38 @@ def retention(old: str, new: str, least_recall: float = 0.9, least_length: float
     return recall >= least_recall and (len(old) < 120 or len(new) >= least_length * len(old)), recall
 
 
+def similarity(a: str, b: str, least: float = 0.0) -> float:
+    """The higher of token overlap and sequence ratio; the ratio is worked out only where its bounds reach ``least`` and the overlap."""
+    x, y = set(a.lower().split()), set(b.lower().split())
+    share = len(x & y) / len(x | y) if x or y else 1.0
+    bound = max(share, least)
+    if share == 1 or 2 * min(len(a), len(b)) < bound * (len(a) + len(b)):
+        return share
+    m = difflib.SequenceMatcher(None, a, b)
+    return share if m.quick_ratio() < bound else max(share, m.ratio())
+
+
+def matched_captions(golden: Sequence[str], output: Sequence[str], least: float = 0.25) -> int:
+    """How many captions find, in turn, a free one that shares enough of their words; captions without words match each other."""
+    words = lambda s: frozenset("".join(c for c in s.lower() if c.isalnum() or c in "_ \t\n").split())
+    free = [words(o) for o in output]
+    hits = 0
+    for want in map(words, golden):
+        alike = (i for i, have in enumerate(free) if (len(want & have) >= least * len(want | have) if want and have else not want and not have))
+        if (i := next(alike, None)) is not None:
+            del free[i]
+            hits += 1
+    return hits
+
+
+def similarity_column(a: Column, b: Column, least: float) -> Column:
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([round(similarity(u, v, least), 4) for u, v in zip(x, y, strict=True)])
+
+    return run(a, b)
+
+
 def disagreement_column(a: Column, b: Column) -> Column:
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:

@@ -2,90 +2,129 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Elements that start a new line of text, and those without text of their own.
-BLOCK_TAGS = frozenset("p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr header footer section article blockquote figure hr br".split())
-VOID_TAGS = frozenset("img br hr input meta link".split())
+# Elements with a line of their own in plain text; of ordered blocks those with text and those that hold others.
+LINE_TAGS = frozenset("p h1 h2 h3 li tr dt dd caption".split())
+TEXT_BLOCKS = frozenset("h1 h2 p dt dd li caption th td img a".split())
+CONTAINERS = frozenset("table thead tbody tr ol ul dl".split())
+# Classes of lines that are no part of the text.
+EDGE_CLASSES = ("running-head", "page-number")
 
 
-class _Text(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
+class _Events(HTMLParser):
+    """The markup as a list of (what, name or text, attributes, source)."""
+
+    def __init__(self, decode: bool = True) -> None:
+        super().__init__(convert_charrefs=decode)
+        self.events: list[tuple[str, str, dict, str]] = []
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK_TAGS:
-            self.parts.append("\n")
-        elif tag in ("td", "th"):
-            self.parts.append("\t")
-        elif tag == "img":
-            self.parts.append(f"[{dict(attrs).get('alt') or 'image'}]")
+        self.events.append(("start", tag, dict(reversed(attrs)), self.get_starttag_text()))
 
     def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS:
-            self.parts.append("\n")
+        self.events.append(("end", tag, {}, f"</{tag}>"))
 
     def handle_data(self, data):
-        self.parts.append(data)
+        self.events.append(("text", data, {}, data))
 
+    def handle_entityref(self, name):
+        self.handle_data(f"&{name};")
 
-class _Blocks(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.blocks: list[dict] = []
-        self.text: list[str] = []
-        self.tag = "text"
-
-    def flush(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            self.blocks.append({"block_type": self.tag, "text": text, "order": len(self.blocks) + 1})
-        self.text = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "img":
-            self.flush()
-            self.blocks.append({"block_type": "img", "text": dict(attrs).get("alt") or "", "order": len(self.blocks) + 1})
-        elif tag in BLOCK_TAGS and tag != "br":
-            self.flush()
-            self.tag = tag
-        elif tag == "br":
-            self.text.append(" ")
+    def handle_charref(self, name):
+        self.handle_data(f"&#{name};")
 
-    def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS:
-            self.flush()
-            self.tag = "text"
 
-    def handle_data(self, data):
-        self.text.append(data)
+def events_of(html: str, decode: bool = True) -> list[tuple[str, str, dict, str]]:
+    p = _Events(decode)
+    p.feed(html)
+    p.close()
+    return p.events
 
 
 def text_of(html: str | None) -> str | None:
-    """Readable text: a line per block, cells by tabs, images by their caption in brackets."""
+    """Readable text: a line per block and per row, a space between cells, images as a line in brackets."""
     if html is None:
         return None
-    p = _Text()
-    p.feed(html)
-    p.close()
-    lines = ("\t".join(" ".join(c.split()) for c in line.split("\t")).strip() for line in "".join(p.parts).split("\n"))
-    return "\n".join(x for x in lines if x)
-
-
-def blocks_of(html: str | None) -> list[dict]:
-    """Ordered blocks with their tag; empty ones are left out and the order has no holes."""
-    if not html:
-        return []
-    p = _Blocks()
-    p.feed(html)
-    p.close()
-    p.flush()
-    return p.blocks
+    out = []
+    for what, name, attrs, _ in events_of(html):
+        if what == "text":
+            out.append(name)
+        elif name in LINE_TAGS:
+            out.append("\n")
+        elif what == "start" and name == "img":
+            alt = attrs.get("alt")
+            out.append(f"\n[image: {alt}]\n" if alt else "\n[image]\n")
+        elif what == "end" and name in ("td", "th"):
+            out.append(" ")
+    return "\n".join(line for x in "".join(out).split("\n") if (line := " ".join(x.split())))
+
+
+def blocks_of(html: str | None, drop_empty: bool = True) -> list[dict]:
+    """Ordered blocks: those with text (``text``), opening containers, images with their caption, and an end block (``/tag``) per closed tag.
+
+    Links within a block stay in its text as tags. ``drop_empty`` leaves out text blocks without text; the order has no holes.
+    """
+    out: list[tuple[str, str]] = []
+    tag, parts = None, []
+
+    def flush() -> None:
+        nonlocal tag, parts
+        if tag is not None:
+            out.append((tag, " ".join(" ".join(parts).split())))
+        tag, parts = None, []
+
+    for what, name, attrs, _ in events_of(html or ""):
+        if what == "text":
+            if tag is not None:
+                parts.append(name)
+        elif name == "a" and tag is not None:
+            parts.append("</a>" if what == "end" else f'<a href="{attrs["href"]}">' if attrs.get("href") else "<a>")
+        elif what == "start" and name == "img":
+            out.append(("img", attrs.get("alt") or ""))
+        elif what == "start" and name in CONTAINERS:
+            out.append((name, ""))
+        elif what == "start" and name in TEXT_BLOCKS:
+            flush()
+            tag = name
+        elif what == "end" and name in TEXT_BLOCKS | CONTAINERS:
+            if name == tag:
+                flush()
+            if not (name == "p" and tag is None and out and out[-1] == ("p", "")):
+                out.append((f"/{name}", ""))
+    flush()
+    kept = [x for x in out if not drop_empty or x[1] or x[0][0] == "/" or x[0] == "img" or x[0] in CONTAINERS]
+    return [{"block_type": t, "text": x, "order": i} for i, (t, x) in enumerate(kept, 1)]
+
+
+def presented(html: str | None, section: str | None = None, images: bool = True) -> str | None:
+    """Markup for reading: without running heads and page numbers by class, the heading that is only the section's number, and images where ``images`` is false."""
+    if html is None:
+        return None
+    out: list[str] = []
+    gone, heading = "", None  # the element being left out; where a second-level heading began
+    for what, name, attrs, source in events_of(html, decode=False):
+        if gone:
+            gone = "" if what == "end" and name == gone else gone
+            continue
+        if what == "start" and set(EDGE_CLASSES) & set((attrs.get("class") or "").split()):
+            gone = name
+            continue
+        if what == "start" and name == "img" and not images:
+            continue
+        if what == "start" and name == "h2":
+            heading = len(out)
+        out.append(source)
+        if what == "end" and name == "h2" and heading is not None:
+            if section and "".join(x for x in out[heading:] if x[:1] != "<").strip() == section:
+                del out[heading:]
+            heading = None
+    return "".join(out)
 
 
 def html_to_text(c: Column) -> Column:
@@ -105,7 +144,7 @@ def parse_blocks(c: Column) -> Column:
 
 
 # Elements that cleaned markup keeps.
-KEPT_TAGS = frozenset("p h1 h2 h3 h4 ul ol li dl dt dd table thead tbody tr td th em strong b i br a blockquote".split())
+KEPT_TAGS = frozenset("h1 h2 h3 p strong em ol ul li table thead tbody tr th td caption figure figcaption img dl dt dd a br".split())
 
 
 class _Tables(HTMLParser):
@@ -171,46 +210,33 @@ def continued_rows(rows: list[list[str]]) -> list[list[str]]:
     return out
 
 
-class _Clean(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
-        self.parts: list[str] = []
-        self.silent = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.silent += 1
-        elif tag in KEPT_TAGS:
-            href = dict(attrs).get("href") if tag == "a" else None
-            self.parts.append(f'<{tag} href="{href}">' if href and href.startswith("#") else f"<{tag}>")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.silent = max(0, self.silent - 1)
-        elif tag in KEPT_TAGS and tag != "br":
-            self.parts.append(f"</{tag}>")
-
-    def handle_data(self, data):
-        if not self.silent:
-            self.parts.append(data)
-
-    def handle_entityref(self, name):
-        if not self.silent:
-            self.parts.append(f"&{name};")
-
-    def handle_charref(self, name):
-        if not self.silent:
-            self.parts.append(f"&#{name};")
-
-
 def cleaned(html: str | None) -> str | None:
-    """Markup with kept elements only; links stay where they point into the page."""
+    """Markup with kept elements only: links stay where they point into the page, images keep caption and count, paragraphs the
+    classes of running heads and page numbers; scripts and styles go with their content. Entities stay as they are written."""
     if html is None:
         return None
-    p = _Clean()
-    p.feed(html)
-    p.close()
-    return "".join(p.parts)
+    out: list[str] = []
+    silent = 0
+    for what, name, attrs, source in events_of(html, decode=False):
+        if name in ("script", "style") and what != "text":
+            silent = silent + 1 if what == "start" else max(0, silent - 1)
+        elif silent:
+            continue
+        elif what == "text":
+            out.append(source)
+        elif name in KEPT_TAGS and not (what == "end" and name in ("img", "br")):
+            if what == "end":
+                out.append(source)
+                continue
+            kept = {}
+            if name == "a" and (attrs.get("href") or "").startswith("#"):
+                kept = {"href": attrs["href"]}
+            elif name == "img":
+                kept = {"alt": attrs.get("alt") or ""} | ({"data-count": attrs["data-count"]} if attrs.get("data-count") else {})
+            elif name == "p" and attrs.get("class") in EDGE_CLASSES:
+                kept = {"class": attrs["class"]}
+            out.append(f"<{name}{''.join(f' {k}={chr(34)}{v}{chr(34)}' for k, v in kept.items())}>")
+    return re.sub(r">\s+<", ">\n<", re.sub(r"\s+", " ", "".join(out))).strip()
 
 
 def parse_tables(c: Column) -> Column:
@@ -227,3 +253,11 @@ def sanitize(c: Column) -> Column:
         return s.map(cleaned)
 
     return run(c)
+
+
+def present(html: Column, section: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(h: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([presented(x, y) for x, y in zip(h, n, strict=True)], dtype=object)
+
+    return run(html, section)

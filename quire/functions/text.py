@@ -16,6 +16,12 @@ def strip_tags(c: Column) -> Column:
     return squash(F.regexp_replace(c, "<[^>]+>", " "))
 
 
+def html_lines(c: Column) -> Column:
+    """Readable lines of markup without a parser: a line per closed block, tags as spaces, white space in one form."""
+    lines = F.regexp_replace(F.regexp_replace(c, "</(?:p|h[1-6]|li|tr|dt|dd)>|<br>", "\n"), "<[^>]+>", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(lines, "[ \\t\\r\\f]+", " "), " ?\\n ?", "\n"))
+
+
 _SETS = {"[A-Za-z]": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "[0-9]": "0123456789"}
 
 

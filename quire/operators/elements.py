@@ -70,16 +70,31 @@ def without_prefix(text: Column) -> Column:
     return F.regexp_replace(text, "^[ ]*[0-9]+[ ]*\\n", "")
 
 
+# Lines of a title page that are no title.
+NO_TITLE = r"(?i)^(adventure gamebooks?$|gamebook\s+[0-9]+$|presents?$|book\s+[0-9]+$|[0-9]+$)"
+
+
 def heading_score(text: Column, page: Column, place: Column) -> Column:
-    """How much a line looks like the book's title."""
-    t = F.trim(text)
-    return (
-        F.when(page <= 2, 3).otherwise(0)
-        + F.when(place == 0, 2).otherwise(0)
-        + F.when(F.length(t).between(5, 60), 2).otherwise(-2)
-        + F.when(t.rlike("[.!?]$"), -3).otherwise(0)
-        + F.when(t.rlike("^([A-Z][A-Za-z'-]*|of|the|and|in|from)( ([A-Z][A-Za-z'-]*|of|the|and|in|from))+$"), 2).otherwise(0)
+    """How much a line looks like the book's title: early pages and places, two to five words, capitals, short; 0 for lines that are none."""
+    t = squash(text)
+    words = F.size(F.split(t, " "))
+    score = (
+        (6 - page) * 10
+        + (10 - F.least(place, F.lit(9))) * 2
+        + F.when(words.between(2, 5), 20).when(words == 1, 5).when(words <= 10, 10).otherwise(0)
+        + F.when(t.rlike("^\\p{Lu}.*\\p{Lu}"), 15).otherwise(0)
+        + F.when(F.length(t) <= 50, 10).when(F.length(t) <= 100, 5).otherwise(0)
     )
+    return F.when((t == "") | t.rlike(NO_TITLE), 0).otherwise(score).cast("int")
+
+
+def centred(df: DataFrame, page: list[str], left: Column, right: Column, out: str, least: float = 0.02, alone: float = 0.05) -> DataFrame:
+    """Adds whether a line's centre is as far from the mean centre of its page's lines as two standard deviations at most (``least`` at
+    least; ``alone`` for a single line). Only sums are shuffled, so a page's lines never gather in a task."""
+    d = df.withColumn("__c", (left + right) / 2)
+    sums = d.groupBy(*page).agg(F.avg("__c").alias("__m"), F.stddev_samp("__c").alias("__s"))
+    reach = F.when(F.col("__s").isNull(), F.lit(alone)).otherwise(F.greatest(F.lit(least), 2 * F.col("__s")))
+    return d.join(sums, list(page)).withColumn(out, F.abs(F.col("__c") - F.col("__m")) <= reach).drop("__c", "__m", "__s")
 
 
 def section_sort_key(section: Column) -> list[Column]:

@@ -8,7 +8,6 @@ bounded by what a book or page can hold. Rows outside the entity never meet.
 from __future__ import annotations
 
 import bisect
-import difflib
 from collections import deque
 from collections.abc import Sequence
 
@@ -17,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.alignment import similarity
+
 
 def greedy_intervals(df: DataFrame, group: str, key: str, start: str, end: str, score: str) -> DataFrame:
     """Best-first intervals without overlap: by score, then length, then start; rows without bounds are skipped. Binary search keeps each group at n log n."""
@@ -74,28 +75,18 @@ def repeated_pages(df: DataFrame, group: str, key: str, order: str, text: str, l
     """Pages that repeat one of the last kept pages: ``of`` and ``similarity``. A dropped page is never compared with again."""
     slim = df.select(group, key, order, text).where(F.col(text).isNotNull())
 
-    def likeness(a: str, b: str, ta: set, tb: set) -> float:
-        share = len(ta & tb) / len(ta | tb)
-        least = max(share, threshold)
-        # Upper bounds of the ratio: by length, by characters.
-        if share == 1 or 2 * min(len(a), len(b)) < least * (len(a) + len(b)):
-            return share
-        m = difflib.SequenceMatcher(None, a, b)
-        return share if m.quick_ratio() < least else max(share, m.ratio())
-
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values([order, key])
         kept: deque = deque(maxlen=look_back)
         rows = []
         for k, t in zip(f[key], f[text], strict=True):
-            tokens = set(t.lower().split())
-            if len(tokens) < min_tokens:
+            if len(set(t.lower().split())) < min_tokens:
                 continue
-            best = max(((likeness(t, u, tokens, tu), ku) for ku, u, tu in kept), default=(0.0, None))
+            best = max(((similarity(t, u, threshold), ku) for ku, u in kept), default=(0.0, None))
             if best[0] >= threshold:
                 rows.append((f[group].iloc[0], k, best[1], round(best[0], 4)))
             else:
-                kept.append((k, t, tokens))
+                kept.append((k, t))
         return pd.DataFrame(rows, columns=[group, key, "of", "similarity"])
 
     kinds = {c: t for c, t in slim.dtypes}

@@ -82,7 +82,8 @@ def collapsed_blanks(spark, d):
 def title_candidates(spark, d):
     """Best title line of every run."""
     e = _elements(spark, d, "run_id", "page", "seq", "text").where("page <= 5 and length(text) <= 80")
-    e = e.withColumn("score", em.heading_score(F.col("text"), F.col("page"), F.col("seq")))
+    e = e.withColumn("place", F.row_number().over(sq.ordered(["run_id", "page"], "seq", "element_key")) - 1)
+    e = e.withColumn("score", em.heading_score(F.col("text"), F.col("page"), F.col("place")))
     return rl.best_row(e, ["run_id"], [-F.col("score"), F.col("seq"), F.col("element_key")]).select("run_id", "element_key", "score")
 
 

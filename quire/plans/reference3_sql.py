@@ -10,7 +10,6 @@ _WORDS = "len(list_filter(string_split(trim(regexp_replace({c}, '[ \\t\\r\\n\\f]
 _LABEL = f"""case when kind = 'table' then 'Table' when regexp_full_match(t, '[0-9]{{1,3}}') then 'Section-header' when regexp_matches(t, '\\.{{4,}}[ ]*[0-9]+') then 'List-item' when regexp_matches(t, '^([-*•–]|o|[0-9]{{1,2}}[.)])[ ]') then 'List-item'
   when regexp_matches(t, '[|\\t]') then 'Table' when {count('t', '[A-Za-z]')} >= 4 and length(t) <= 60 and {count('t', '[A-Z]')} >= 0.9 * {count('t', '[A-Za-z]')} and not contains(t, '=') then 'Title' else 'Text' end"""
 _SPLIT = "unnest(string_split(text, chr(10)))"
-_TITLE = "([A-Z][A-Za-z''-]*|of|the|and|in|from)"
 
 SQL: dict[str, str] = {
     "reduced_elements": f"""with {EL}, r as (select run_id, page, trim(regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), ' ') as t from el)
@@ -26,9 +25,11 @@ SQL: dict[str, str] = {
       or ({count('line', '[A-Za-z]')} >= 8 and {count('line', '[AEIOUaeiouy]')} = 0)) group by 1""",
     "number_lines_stripped": """with t as (select doc_id, text, array_to_string(list_filter(string_split(text, chr(10)), lambda x: not regexp_full_match(x, '[ ]*[0-9]+[ ]*')), chr(10)) as t from documents where text is not null) select doc_id, length(t) as chars from t where text <> t""",
     "collapsed_blanks": "with t as (select doc_id, text, regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g') as t from documents where text is not null) select doc_id, length(t) as chars from t where text <> t",
-    "title_candidates": f"""with {EL}, e as (select *, trim(text, ' ') as t from el where page <= 3 and length(text) <= 80), s as (select run_id, element_key, seq, case when page <= 2 then 3 else 0 end + case when seq = 0 then 2 else 0 end + case when length(t) between 5 and 60 then 2 else -2 end
-          + case when regexp_matches(t, '[.!?]$') then -3 else 0 end + case when regexp_full_match(t, '{_TITLE}( {_TITLE})+') then 2 else 0 end as score from e)
-      select run_id, element_key, score from s qualify row_number() over (partition by run_id order by score desc, seq, element_key) = 1""",
+    "title_candidates": f"""with {EL}, e as (select *, row_number() over (partition by run_id, page order by seq, element_key) - 1 as place, trim(regexp_replace(text, '[ \\t\\r\\n\\f]+', ' ', 'g'), ' ') as t from el where page <= 5 and length(text) <= 80),
+        w as (select *, len(string_split(t, ' ')) as w from e),
+        s as (select run_id, element_key, seq, case when t = '' or regexp_matches(t, '(?i)^(adventure gamebooks?$|gamebook\\s+[0-9]+$|presents?$|book\\s+[0-9]+$|[0-9]+$)') then 0 else (6 - page) * 10 + (10 - least(place, 9)) * 2
+          + case when w between 2 and 5 then 20 when w = 1 then 5 when w <= 10 then 10 else 0 end + case when regexp_matches(t, '^\\p{{Lu}}.*\\p{{Lu}}') then 15 else 0 end + case when length(t) <= 50 then 10 when length(t) <= 100 then 5 else 0 end end as score from w)
+      select run_id, element_key, cast(score as int) as score from s qualify row_number() over (partition by run_id order by score desc, seq, element_key) = 1""",
     "section_order": f"""with {NODES} select run_id, section, row_number() over (partition by run_id order by case when section = 'background' then 0 when regexp_full_match(section, '[0-9]+') then 1 else 2 end, try_cast(section as int) nulls first, section) as place from nodes""",
     "boundary_checks": f"""with {B}, {_SEQ}, j as (select b.*, seq from b left join sq on sq.run_id = b.run_id and sq.id = b.start_element_id),
         k as (select *, count(*) over (partition by run_id, section_id) as n1, case when seq is not null then count(*) over (partition by run_id, seq) end as n2 from j),
