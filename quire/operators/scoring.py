@@ -37,8 +37,8 @@ def _skyline(high: str, low: Sequence[str]):
 def pareto_front(df: DataFrame, key: str, high: str, low: Sequence[str], buckets: int = 64) -> DataFrame:
     """Rows that no other row dominates: at least as good everywhere and better somewhere.
 
-    Rows without positive ``low`` values neither dominate nor are dominated. Two levels:
-    skylines of hashed buckets, then the skyline of these.
+    Rows without positive ``low`` values neither dominate nor are dominated. Skylines of hashed
+    buckets are merged eight by eight, so only rows of the front come to the last task.
     """
     positive = F.lit(True)
     for c in low:
@@ -46,8 +46,13 @@ def pareto_front(df: DataFrame, key: str, high: str, low: Sequence[str], buckets
     run = _skyline(high, low)
     slim = df.where(positive).select(key, high, *low)
     local = slim.withColumn("__b", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    local = local.groupBy("__b").applyInPandas(run, local.schema)
-    front = local.withColumn("__b", F.lit(0).cast("long")).groupBy("__b").applyInPandas(run, local.schema).select(key)
+    while True:
+        local = local.groupBy("__b").applyInPandas(run, local.schema)
+        if buckets == 1:
+            break
+        buckets = -(-buckets // 8)
+        local = local.withColumn("__b", F.pmod("__b", F.lit(buckets)))
+    front = local.select(key)
     return df.join(front.unionByName(df.where(~positive).select(key)), key, "left_semi")
 
 

@@ -17,6 +17,23 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn(out, F.lead(value).over(ordered(keys, *order)))
 
 
+def lag_in_slices(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, width: int = 65_536) -> DataFrame:
+    """The previous row's value by a whole number ``order`` (unique per key), where a key may hold a large share of all rows.
+
+    A key is cut into slices of ``width`` numbers; inside a slice it is a plain window, and the first row of a slice gets the
+    last value of the slice before it that has any, from one row per slice.
+    """
+    keys = list(keys)
+    d = df.withColumn("__slice", F.floor(F.col(order) / width))
+    last = d.groupBy(*keys, "__slice").agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("__last"))
+    carried = last.select(*keys, "__slice", F.lag("__last").over(ordered(keys, "__slice")).alias("__carried"))
+    w = ordered([*keys, "__slice"], order)
+    inside = d.withColumn("__own", F.lag(F.struct(F.col(value).alias("v"))).over(w))
+    first = inside.where("__own is null").join(carried, [*keys, "__slice"]).withColumn("__own", F.col("__carried")).drop("__carried")
+    both = inside.where("__own is not null").unionByName(first)
+    return both.withColumn(out, F.col("__own.v")).drop("__own", "__slice")
+
+
 def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], starts: Column, out: str) -> DataFrame:
     """Numbers runs of rows: a new run begins where ``starts`` is true (or null, as at the first row)."""
     w = ordered(keys, *order).rowsBetween(Window.unboundedPreceding, 0)

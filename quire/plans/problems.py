@@ -128,6 +128,17 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return per_key.groupBy("src_table", "month").agg(F.sum("n").alias("dead_references"), F.count("*").alias("dead_targets"))
 
 
+def p5_state(spark: SparkSession, d: str) -> DataFrame:
+    """Current dead targets of every run with their number of references, from counts kept over two batches of changes."""
+    keys = ["run_id", "section"]
+    events = cut(rf.change_events(_sections(spark, d), _references(spark, d), keys))
+    # Two deliveries: all changes up to the middle of the period, then those after it.
+    middle = events.agg(F.expr("timestamp_micros(div(unix_micros(min(at)) + unix_micros(max(at)), 2))").alias("m")).first()["m"]
+    _, state = rf.advance(rf.no_counts(events, keys), events.where(F.col("at") <= F.lit(middle)), keys)
+    _, state = rf.advance(cut(state), events.where(F.col("at") > F.lit(middle)), keys)
+    return rf.current_orphans(state).select(*keys, "refs")
+
+
 # --- intervals ------------------------------------------------------------------
 
 
@@ -170,5 +181,6 @@ QUERIES = {
     "p4_chapter_pages": p4_chapter_pages,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p5_state": p5_state,
     "p6_found": p6_found,
 }

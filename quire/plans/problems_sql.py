@@ -120,6 +120,9 @@ SQL: dict[str, str] = {
              cast(case when json_type(x.v) = 'OBJECT' then json_extract_string(x.v, '$.drift_score') end as double) as drift_score
       from (select report_key, unnest({_things("c")}) as x from chs) where {_there("x.v")}""",
     "p5_found": _DEAD + "select src_table, src_key, ref_pos from dead",
+    "p5_state": _DEAD
+    + """select run_id, section, count(*) as refs from named r where section is not null and not exists (
+      select 1 from there g where g.run_id = r.run_id and g.section = r.section and g.deleted_at is null) group by 1, 2""",
     "p5_report": _DEAD
     + """select src_table, strftime(loaded_at at time zone 'UTC', '%Y-%m') as month, count(*) as dead_references, count(distinct (run_id, section)) as dead_targets
          from dead group by all""",

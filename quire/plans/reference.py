@@ -508,9 +508,8 @@ def vocabulary_ratio(spark, d):
 @query
 def neighbour_similarity(spark, d):
     """Token overlap of a document with the previous one of its source, where high."""
-    t = table(spark, d, "documents").where("text is not null").select("doc_id", "source", sq.token_set(F.col("text")).alias("t"))
-    prev = F.lag("t").over(sq.ordered(["source"], "doc_id"))
-    return t.withColumn("p", prev).where("p is not null").select("doc_id", F.round(sq.jaccard(F.col("t"), F.col("p")), 4).alias("similarity")).where("similarity >= 0.3")
+    t = table(spark, d, "documents").where("text is not null and source is not null").select("doc_id", "source", sq.token_set(F.col("text")).alias("t"))
+    return sq.lag_in_slices(t, ["source"], "doc_id", "t", "p").where("p is not null").select("doc_id", F.round(sq.jaccard(F.col("t"), F.col("p")), 4).alias("similarity")).where("similarity >= 0.3")
 
 
 @query

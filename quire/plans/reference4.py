@@ -82,18 +82,9 @@ def portion_page_windows(spark, d):
 
 @query
 def weighted_reasons(spark, d):
-    """Top reasons of chapters flagged in an array, over all reports; of every shape: :func:`weighted_reasons_of_all`."""
-    i = table(spark, d, "pipeline_issues").select("report_key", "summary").dropDuplicates(["report_key"])
-    c = i.select(F.explode(F.from_json(F.get_json_object("summary", "$.flagged_genealogy_chapters"), "array<string>")).alias("c"))
-    r = c.select(F.explode(F.from_json(F.get_json_object("c", "$.reasons"), "array<string>")).alias("reason"))
-    return r.groupBy("reason").agg(F.count("*").alias("chapters"))
-
-
-@query
-def weighted_reasons_of_all(spark, d):
-    """Top reasons of flagged chapters in whatever shape, over all reports."""
+    """The twenty most frequent reasons of flagged chapters in whatever shape, over all reports, by number of chapters and name."""
     i = ne.unwrap_json(table(spark, d, "pipeline_issues").select("report_key", "summary").dropDuplicates(["report_key"]), "summary", "j")
     c = ne.explode_shaped(i.select("report_key", F.expr("try_variant_get(j, '$.flagged_genealogy_chapters', 'variant')").alias("c")), "c", "report_key", "chapter_pos", "v")
     r = c.select("report_key", F.expr("try_variant_get(try_parse_json(v), '$.reasons', 'variant')").alias("r"))
     r = ne.explode_shaped(r, "r", "report_key", "pos", "v").select(F.expr("try_variant_get(try_parse_json(v), '$', 'string')").alias("reason"))
-    return r.where("reason is not null").groupBy("reason").agg(F.count("*").alias("chapters"))
+    return r.where("reason is not null").groupBy("reason").agg(F.count("*").alias("chapters")).orderBy(F.desc("chapters"), "reason").limit(20)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quire.plans.problems_sql import _inner, _there, _things
 from quire.plans.reference_sql import P, SQL as FIRST, STRIP
 
 _EVIDENCE = (
@@ -22,7 +23,9 @@ SQL: dict[str, str] = {
       select run_id, page from s where i % step = 0 and i // step < 5""",
     "portion_page_windows": f"""with {P}, w as (select run_id, page_start, unnest(range(cast(greatest(0, floor((page_start - 10) / 5) + 1) as bigint), cast(floor(page_start / 5) + 1 as bigint))) as w from p)
       select run_id, w, count(*) as portions, min(page_start) as first_page, max(page_start) as last_page from w group by 1, 2""",
-    "weighted_reasons": """with i as (select distinct report_key, summary from pipeline_issues), f as (select json_extract(cast(summary as json), '$.flagged_genealogy_chapters') as f from i where json_valid(summary)),
-        c as (select unnest(from_json(f, '["JSON"]')) as c from f where json_type(f) = 'ARRAY'), r as (select unnest(from_json(json_extract(c, '$.reasons'), '["VARCHAR"]')) as reason from c where json_type(c) = 'OBJECT' and json_type(json_extract(c, '$.reasons')) = 'ARRAY')
-      select reason, count(*) as chapters from r group by 1""",
+    "weighted_reasons": f"""with i as (select distinct report_key, summary from pipeline_issues where json_valid(summary)),
+        f as (select report_key, {_inner('c')} as c from (select report_key, json_extract(cast(summary as json), '$.flagged_genealogy_chapters') as c from i)),
+        c as (select report_key, x.v as v from (select report_key, unnest({_things('c')}) as x from f) where {_there('x.v')}),
+        r as (select report_key, json_extract(v, '$.reasons') as r from c where json_type(v) = 'OBJECT'), s as (select x.v as v from (select unnest({_things('r')}) as x from r) where {_there('x.v')})
+      select json_extract_string(v, '$') as reason, count(*) as chapters from s where json_type(v) = 'VARCHAR' group by 1 order by chapters desc, reason limit 20""",
 }

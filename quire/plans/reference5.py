@@ -53,22 +53,13 @@ def longest_item_names(spark, d):
     return se.longest_names(items, ["run_id"], "item")
 
 
-def _paragraphs(e):
-    x = e.select("run_id", "page", "seq", F.posexplode(F.split("text", "\\n")).alias("i", "line")).withColumn("at", F.col("seq") * 1000 + F.col("i")).where("trim(line) <> ''")
-    out = se.flushed_lines(x, ["run_id", "page"], "at", "line")
-    return out.select("run_id", "page", "paragraph", "lines", F.length("line").alias("chars"))
-
-
 @query
 def paragraphs_of_lines(spark, d):
-    """Lines of the elements of a run's first pages as paragraphs; of every page: :func:`paragraphs_of_all_lines`."""
-    return _paragraphs(_elements(spark, d, "run_id", "page", "seq", "text").where("page <= 5"))
-
-
-@query
-def paragraphs_of_all_lines(spark, d):
     """Lines of the elements of every page as paragraphs."""
-    return _paragraphs(_elements(spark, d, "run_id", "page", "seq", "text"))
+    e = _elements(spark, d, "run_id", "page", "seq", "text")
+    x = e.select("run_id", "page", "seq", F.posexplode(F.split("text", "\\n")).alias("i", "line")).withColumn("at", F.col("seq") * 1_000_000 + F.col("i")).where("trim(line) <> ''")
+    out = se.flushed_lines(x, ["run_id", "page"], "at", "line")
+    return out.select("run_id", "page", "paragraph", "lines", F.length("line").alias("chars"))
 
 
 @query

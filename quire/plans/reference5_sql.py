@@ -26,7 +26,7 @@ SQL: dict[str, str] = {
     "longest_item_names": """with i as (select distinct run_id, lower(trim(item, ' ')) as item from (select run_id, unnest(inventory.items_gained) as item from enriched_portions union all select run_id, unnest(inventory.items_lost) from enriched_portions) where trim(item, ' ') <> ''),
         t as (select *, regexp_extract(item, '([^ ]+)$', 1) as tail from i), l as (select *, max(length(item)) over (partition by run_id, tail) as n from t)
       select run_id, item from l where contains(item, ' ') or n = length(item)""",
-    "paragraphs_of_lines": f"""with {EL}, x as (select run_id, page, seq, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from el where page <= 5), y as (select run_id, page, seq * 1000 + i as o, line from x where trim(line, ' ') <> ''),
+    "paragraphs_of_lines": f"""with {EL}, x as (select run_id, page, seq, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from el), y as (select run_id, page, seq * 1000000 + i as o, line from x where trim(line, ' ') <> ''),
         p as (select *, lag(line) over (partition by run_id, page order by o) as prev from y),
         f as (select *, (prev is null or regexp_full_match(line, '[ ]*[0-9]{{1,3}}[ ]*') or regexp_full_match(prev, '[ ]*[0-9]{{1,3}}[ ]*') or (length(prev) < 30 and regexp_matches(prev, '[.!?"]$')))::int as f from p),
         g as (select *, sum(f) over (partition by run_id, page order by o) as paragraph from f)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.session import cut
+
 EVENT = "timestamp timestamp, run_id string, stage string, status string, current int, total int, message string, module_id string"
 STATUSES = ("queued", "running", "done", "failed", "skipped", "warning")
 FINISHED = ("done", "failed", "skipped")
@@ -51,13 +53,24 @@ def usage_totals(usage: DataFrame, window: str = "1 minute", late: str = "10 min
     )
 
 
-def write_state(stream: DataFrame, folder: str, checkpoint: str):
-    """The folded state of a stream to a Parquet folder, replaced after every batch of new events."""
+def write_state(stream: DataFrame, folder: str, checkpoint: str, keys: tuple[str, ...] = ("run_id", "stage"), buckets: int = 64):
+    """The folded state of a stream to a Parquet folder of hash buckets of the keys (column ``bucket``).
 
-    def put(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(folder)
+    Update mode: a batch holds the keys that changed, and only their buckets are written anew, so a batch costs what it
+    changes and not what there has been. A batch that is repeated after a failure gives the same files.
+    """
 
-    return stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(put)
+    def put(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        new = cut(batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            old = spark.read.schema(new.schema).parquet(folder).where(F.col("bucket").isin(touched))
+            new = cut(old.join(new.select(*keys), list(keys), "left_anti").unionByName(new))
+        new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(folder)
+
+    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put)
 
 
 def cached(asked: DataFrame, cache: DataFrame, key: str, compute) -> tuple[DataFrame, DataFrame]:

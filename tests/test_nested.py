@@ -49,7 +49,7 @@ def test_flat_tables_of_every_shape(spark, tmp_path):
     spark.createDataFrame(issues, "report_key long, summary string").write.parquet(str(tmp_path / "pipeline_issues.parquet"))
     pages = {tuple(r) for r in problems.p4_chapter_pages(spark, str(tmp_path)).collect()}
     assert pages == {(0, 0, 0, 4, 2, True), (0, 0, 2, 4, 2, True), (1, 0, 0, 4, 2, True)}
-    assert {tuple(r) for r in reference4.weighted_reasons_of_all(spark, str(tmp_path)).collect()} == {("a", 2), ("b", 1)}
+    assert {tuple(r) for r in reference4.weighted_reasons(spark, str(tmp_path)).collect()} == {("a", 2), ("b", 1)}
 
 
 @pytest.mark.skipif(not et.SOURCE.exists(), reason="no data folder here")

