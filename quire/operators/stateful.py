@@ -142,3 +142,24 @@ def distinct_boxes(df: DataFrame, group: str, key: str, threshold: float = 0.95,
 
     slim = df.select(group, key, *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
     return slim.groupBy(group).applyInPandas(run, slim.schema).select(group, key)
+
+
+def select_boxes(df: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """The ``most`` largest boxes (x0, y0, x1, y1) of a page that do not overlap, in order of size; ``rank`` from 1. A group is one page."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.assign(area=(f["x1"] - f["x0"]) * (f["y1"] - f["y0"])).sort_values(["area", key], ascending=[False, True])
+        boxes = f[["x0", "y0", "x1", "y1"]].to_numpy()
+        kept: list[int] = []
+        for i, b in enumerate(boxes):
+            if len(kept) == most:
+                break
+            k = boxes[kept]
+            apart = (k[:, 2] <= b[0]) | (b[2] <= k[:, 0]) | (k[:, 3] <= b[1]) | (b[3] <= k[:, 1])
+            if apart.all():
+                kept.append(i)
+        return f.iloc[kept][[group, key]].assign(rank=np.arange(1, len(kept) + 1, dtype="int32"))
+
+    slim = df.select(group, key, *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]).dropna()
+    kinds = dict(slim.dtypes)
+    return slim.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, rank int")

@@ -64,6 +64,13 @@ def read_texts(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
+def by_key(keys: Sequence[str], order: Sequence[Column]):
+    """Window over ``keys`` in an order."""
+    from pyspark.sql import Window
+
+    return Window.partitionBy(*keys).orderBy(*order)
+
+
 def natural_key(name: Column) -> Column:
     """Sort key by the numbers in a name."""
     return F.transform(F.regexp_extract_all(name, F.lit("([0-9]+)"), F.lit(1)), lambda x: x.cast("long"))

@@ -92,3 +92,12 @@ def test_checks_that_the_tables_leave_empty(spark):
     from quire.functions import text as tx
 
     assert column(spark, ["a\n\n\n\nb", "a\n\nb", "", None], tx.collapse_blank_lines) == ["a\n\nb", "a\n\nb", "", None]
+
+
+def test_selected_boxes_do_not_overlap(spark):
+    from quire.operators import stateful as st
+
+    rows = [("p", 1, 0.0, 0.0, 10.0, 10.0), ("p", 2, 5.0, 5.0, 14.0, 14.0), ("p", 3, 10.0, 0.0, 15.0, 5.0), ("p", 4, 20.0, 20.0, 21.0, 21.0), ("p", 5, None, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, k int, x0 double, y0 double, x1 double, y1 double")
+    assert {(r.k, r["rank"]) for r in st.select_boxes(df, "g", "k", 2).collect()} == {(1, 1), (3, 2)}
+    assert {r.k for r in st.select_boxes(df, "g", "k", 9).collect()} == {1, 3, 4}
