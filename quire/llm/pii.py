@@ -211,15 +211,15 @@ def scan_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, text).mapInArrow(run, f"kind string, {key} {kind}, value string")
 
 
-def decide(run: str, lower: set[str], learnt: set[str]) -> list[str]:
-    """The full names in a run of capitalised words. ``lower``: its words that the corpus writes in lower case; ``learnt``: its learnt given names."""
+def decide(run: str, lower: set[str], learnt: set[str], known: frozenset[str] = GIVEN) -> list[str]:
+    """The full names in a run of capitalised words. ``lower``: its words that the corpus writes in lower case; ``learnt``: its learnt given names; ``known``: listed ones."""
     tokens = run.split(" ")
     comma = [t.endswith(",") for t in tokens]
     bare = [t.rstrip(",") for t in tokens]
     low = [t.lower() for t in bare]
     titles = {t.lower() for t in TITLES}
     initial = [len(t) == 2 and t[1] == "." for t in bare]
-    given = [(x in GIVEN or x in learnt) and len(x) > 1 for x in low]
+    given = [(x in known or x in learnt) and len(x) > 1 for x in low]
     streets = set(_STREETS.lower().split("|"))
     family = [
         not initial[i] and len(x) > 2 and x not in titles and x not in streets and (x not in lower and not all(y in lower for y in x.split("-"))) and not given[i]
@@ -255,14 +255,14 @@ def _looks_like_name(word: str) -> bool:
     return len(word) >= 4 and (word.isupper() and len(word) >= 5 or not word[1:2].isupper()) and 5 * vowels >= len(word)
 
 
-def names(scan: DataFrame, key: str) -> DataFrame:
-    """(``key``, value) of the full names, from the runs and words of :func:`scan_text`."""
+def names(scan: DataFrame, key: str, known: frozenset[str] = GIVEN) -> DataFrame:
+    """(``key``, value) of the full names, from the runs and words of :func:`scan_text`; ``known``: listed given names."""
     runs = scan.where("kind = 'run'").select(key, F.col("value").alias("run"))
     lower = scan.where("kind = 'word'").select(F.col("value").alias("token")).distinct().withColumn("lower", F.lit(True))
     kinds = cut(runs.groupBy("run").agg(F.count("*").alias("n")))
     parts = kinds.withColumn("t", F.split("run", " "))
     titles = F.array(*[F.lit(x) for t in TITLES for x in (t, t + ".")])
-    # Evidence for a given name: "G X. Family" and "Title G Family".
+    # Evidence for a given name: "G X. Family" and "Title G Family". ("G Family" alone is none: towns stand before names in letters.)
     ev = parts.select(F.posexplode("t").alias("i", "b"), "t")
     ev = ev.select(
         F.lower("b").alias("token"),
@@ -283,7 +283,7 @@ def names(scan: DataFrame, key: str) -> DataFrame:
         for f in frames:
             rows = []
             for r, a, b in zip(f["run"], f["lower"], f["learnt"], strict=True):
-                rows += [(r, x) for x in decide(r, set() if a is None else set(a), set() if b is None else set(b))]
+                rows += [(r, x) for x in decide(r, set() if a is None else set(a), set() if b is None else set(b), known)]
             yield pd.DataFrame(rows, columns=["run", "value"], dtype=object)
 
     decided = full.select("run", "lower", "learnt").mapInPandas(run, "run string, value string")

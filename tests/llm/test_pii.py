@@ -92,3 +92,12 @@ def test_addresses_with_any_white_space():
         for words in (("Im", "Winkel", "7"), ("Zum", "Anger", "12"), ("Zur", "Linde", "3a"), ("Am", "Bach", "5"), ("An", "der", "Mauer", "4"), ("Auf", "der", "Heide", "9"), ("Mühlweg", "8"), ("Calle", "Mayor", "5"), ("12", "Łęg", "Street")):
             value = space.join(words)
             assert pii.contacts(f"Ich wohne jetzt {value}, danke.")[0] == [("address", value)], repr(value)
+
+
+def test_given_names_are_learnt_without_a_list(spark):
+    """With an empty list of given names, those that the corpus shows before initials or after titles are found with other families too."""
+    letters = [f"Yours, {g} {i}. {f}" for g in ("Oriana", "Tebaldo") for i, f in zip("ABCD", ("Quarnholt", "Eskelwick", "Rustimere", "Gannulund"))]
+    letters += ["Mrs Oriana Sorrelbert wrote it.", "We met Tebaldo Merripole and Nolwen Tavikins there.", "the old gate Old Quarnholt"]
+    df = spark.createDataFrame(list(enumerate(letters)), "k long, t string")
+    got = {r.value for r in pii.names(pii.cut(pii.scan_text(df, "k", "t")), "k", known=frozenset()).collect()}
+    assert {"Oriana Sorrelbert", "Tebaldo Merripole"} <= got and "Nolwen Tavikins" not in got and "Old Quarnholt" not in got
