@@ -13,6 +13,7 @@ tokens are ordinary text; lone surrogates cannot occur in Spark strings.
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -174,12 +176,25 @@ def encoder(path: str = VOCABULARY) -> Encoder:
     return Encoder(path)
 
 
+def ship(df: DataFrame, path: str) -> None:
+    """Sends the vocabulary file of the driver to all workers, so that it need not lie on their machines."""
+    if os.path.exists(path):
+        df.sparkSession.sparkContext.addFile(path)
+
+
+def located(path: str) -> str:
+    """In a worker: the shipped file, or else the path itself."""
+    shipped = SparkFiles.get(os.path.basename(path))
+    return shipped if os.path.exists(shipped) else path
+
+
 def encode_column(df: DataFrame, key: str, text: str, out: str, path: str = VOCABULARY) -> DataFrame:
     """``key`` and the token ids of ``text`` as ``out`` (array of int, never null). Narrow, Arrow batches."""
+    ship(df, path)
     schema = T.StructType([df.schema[key], T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(located(path))
         for batch in batches:
             ids = [enc.encode(t) for t in batch.column(1).to_pylist()]
             offsets = np.zeros(len(ids) + 1, dtype=np.int32)
@@ -196,10 +211,11 @@ def encode_column(df: DataFrame, key: str, text: str, out: str, path: str = VOCA
 
 def count_column(df: DataFrame, key: str, text: str, out: str, path: str = VOCABULARY) -> DataFrame:
     """``key`` and the number of tokens of ``text`` as ``out`` (0 for null and empty)."""
+    ship(df, path)
     schema = T.StructType([df.schema[key], T.StructField(out, T.IntegerType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(located(path))
         for batch in batches:
             n = pa.array([len(enc.encode(t)) for t in batch.column(1).to_pylist()], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), n], names=[key, out])

@@ -79,14 +79,19 @@ def p3_texts(spark: SparkSession, d: str) -> DataFrame:
     return elements.unionByName(scannoise.repair(table(spark, d, "pages_html"), "page", "page_key", "html", noise, html=True))
 
 
+def _vocabulary(spark: SparkSession) -> str:
+    """The file that spark.quire.vocabulary names, or the public one."""
+    return spark.conf.get("spark.quire.vocabulary", bpe.VOCABULARY)
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
-    return bpe.encode_column(table(spark, d, "documents"), "doc_id", "text", "ids")
+    return bpe.encode_column(table(spark, d, "documents"), "doc_id", "text", "ids", _vocabulary(spark))
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     """Container of every document (of every piece, for documents above the capacity)."""
-    sizes = bpe.count_column(table(spark, d, "documents"), "doc_id", "text", "n_tokens")
+    sizes = bpe.count_column(table(spark, d, "documents"), "doc_id", "text", "n_tokens", _vocabulary(spark))
     return packing.pack(sizes, "doc_id", "n_tokens")
 
 
