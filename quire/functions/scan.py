@@ -145,7 +145,8 @@ def spell_columns(df: DataFrame, text: Column, known: str, out: str) -> DataFram
     share_ = F.size(F.filter("__m", lambda t: F.length(t) >= 3)) / F.greatest(F.size("__t"), F.lit(1))
     confusion = F.least(F.lit(1.0), F.greatest(share_ * 2, F.when(suspect, 0.6).when(meant, 0.5).otherwise(0.0)))
     spell = F.struct(F.size("__w").alias("words"), F.round(dictionary, 4).alias("dictionary"), F.round(confusion, 4).alias("confusion"))
-    return d.withColumn(out, spell).drop("__w", "__t", "__u", "__n", "__m")
+    # A generator, so that a filter on the result is not moved below it, where every step would be worked out again.
+    return d.withColumn(out, F.explode(F.array(spell))).drop("__w", "__t", "__u", "__n", "__m")
 
 
 def engine_score(lines: Column, spell: Column, short: int = 40) -> Column:
