@@ -318,13 +318,14 @@ def book_totals(spark, d):
 
 @query
 def revenue_by_nation(spark, d):
-    """Orders and revenue per nation and year: joins from facts to dimensions."""
-    li = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+    """Orders and revenue per nation and year: joins from facts to dimensions. Sums are of decimals, so no order of adding shows in the cents."""
+    money = lambda c: F.col(c).cast("decimal(12,2)")
+    li = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum(money("l_extendedprice") * (F.lit(1).cast("decimal(3,2)") - money("l_discount"))).alias("revenue"))
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.groupBy("n_name", "year").agg(F.count("*").alias("orders"), F.round(F.sum("revenue"), 2).alias("revenue"))
+    return j.groupBy("n_name", "year").agg(F.count("*").alias("orders"), F.round(F.sum("revenue"), 2).cast("double").alias("revenue"))
 
 
 @query

@@ -77,8 +77,8 @@ SQL: dict[str, str] = {
     "book_totals": """with p as (select book_id, count(distinct run_id) as runs, count(distinct page_key) as pages from pages_html group by 1), g as (select book_id, count(distinct section_key) as sections from gamebook_sections group by 1),
         j as (select book_kind, lang, coalesce(runs, 0) as runs, coalesce(pages, 0) as pages, coalesce(sections, 0) as sections from books b left join p on p.book_id = b.book_id left join g on g.book_id = b.book_id)
       select coalesce(book_kind, 'all') as book_kind, coalesce(lang, 'all') as lang, count(*) as books, sum(runs) as runs, sum(pages) as pages, sum(sections) as sections from j group by cube (book_kind, lang)""",
-    "revenue_by_nation": """with l as (select l_orderkey, sum(l_extendedprice * (1 - l_discount)) as revenue from lineitem group by 1)
-      select n_name, year(o_orderdate) as year, count(*) as orders, round(sum(revenue), 2) as revenue from orders join l on l_orderkey = o_orderkey join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey group by 1, 2""",
+    "revenue_by_nation": """with l as (select l_orderkey, sum(cast(l_extendedprice as decimal(12,2)) * (cast(1 as decimal(3,2)) - cast(l_discount as decimal(12,2)))) as revenue from lineitem group by 1)
+      select n_name, year(o_orderdate) as year, count(*) as orders, cast(round(sum(revenue), 2) as double) as revenue from orders join l on l_orderkey = o_orderkey join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey group by 1, 2""",
     "interval_join_counts": f"with {P}, {B} select portion_key, count(*) as boundaries from p join b on b.run_id = p.run_id and b.start_page between p.page_start and p.page_end group by 1",
     "run_reuse": f"""with {NODES}, {EDGES}, {ORPHANS.format(x="'1', 'background'")}, {BROKEN}, {B}, n as (select distinct run_id from nodes),
         h as (select run_id, exists (select 1 from orphans o where o.run_id = n.run_id) as o, exists (select 1 from broken k where k.run_id = n.run_id) as k from n),
