@@ -158,7 +158,7 @@ def as_batch(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(TYPES))
 
 
-def index_rows(kind: str, src: str, index: dict, single: Counter | None = None) -> pa.RecordBatch:
+def index_rows(kind: str, src: str, index: dict, single: dict | None = None) -> pa.RecordBatch:
     """An inverted index of one batch as rows: entry (a word or a pair), the keys of its records, and the ``single`` count of those without copies."""
     entries, lists = list(index), list(index.values())
     offsets = np.zeros(len(lists) + 1, dtype=np.int32)
@@ -188,8 +188,9 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
             words: dict[str, list[int]] = defaultdict(list)
             pairs: dict[tuple[str, str], list[int]] = defaultdict(list)
             pages: list[tuple] = []
-            single, others = Counter(), defaultdict(Counter)
-            for k, t, run_id, book_id, page, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            others: dict[int, Counter] = defaultdict(Counter)
+            cols = [c.to_pylist() for c in batch.columns]
+            for k, t, copies, *place in zip(*cols, strict=True):
                 if not t:
                     continue
                 if html:
@@ -202,19 +203,22 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                             got |= w
                             cut_ |= h
                     n, edges = len(parts), []
-                    for place in {0, 1, 2, n - 2, n - 1}:
-                        if 0 <= place < n and "\n" not in (line := parts[place].text) and not OPEN_END.search(line):
-                            edges.append({"text": line, "place": place, "count": n, "kind": parts[place].kind})
+                    for at in {0, 1, 2, n - 2, n - 1}:
+                        if 0 <= at < n and "\n" not in (line := parts[at].text) and not OPEN_END.search(line):
+                            edges.append({"text": line, "place": at, "count": n, "kind": parts[at].kind})
                     if edges:
-                        pages.append((k, run_id, book_id, page, edges))
+                        pages.append((k, *place, edges))
                 else:
                     got, cut_ = reader.read(t, copies)
-                (single if copies == 1 else others[copies]).update(got)
+                if copies > 1:
+                    others[copies].update(got)
                 for w in got:
                     words[w].append(k)
                 for h in cut_:
                     pairs[h].append(k)
-            yield index_rows("w", src, {w: v for w, v in words.items() if is_word(w)}, single)
+            words = {w: v for w, v in words.items() if is_word(w)}
+            # Each text of a word is in its list once; those of many copies are counted apart.
+            yield index_rows("w", src, words, {w: len(v) - sum(c[w] for c in others.values()) for w, v in words.items()})
             if others:
                 yield counted_rows("r", src, {c: Counter({w: n for w, n in x.items() if is_word(w)}) for c, x in others.items()})
             yield index_rows("h", src, pairs)
@@ -223,7 +227,8 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                 yield as_batch(len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=edges)
         yield counted_rows("c", src, {1: reader.counts, **reader.repeated})
 
-    return df.select(F.col(key).cast("long").alias("k"), text, "run_id", "book_id", "page", F.coalesce("text_copies", F.lit(1)).alias("copies")).mapInArrow(run, SCHEMA)
+    place = ["run_id", "book_id", "page"] if html else []
+    return df.select(F.col(key).cast("long").alias("k"), text, F.coalesce("text_copies", F.lit(1)).alias("copies"), *place).mapInArrow(run, SCHEMA)
 
 
 def anagram_hash(word: str) -> Column:
