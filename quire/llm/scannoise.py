@@ -51,9 +51,8 @@ RATIO = 10
 MIN_TARGET = 5
 #: Two confusions are undone only in words of that length.
 TWICE_LENGTH = 6
-#: A running head or page number does not end like a sentence.
-SENTENCE_END = "[.!?:;,][\"'”»)]*$"
-OPEN_END = re.compile(SENTENCE_END)
+#: A running head or page number does not end like a sentence: one of these signs, with or without closing ones behind it.
+SENTENCE_ENDS, CLOSING = ".!?:;,", "\"'”»)"
 #: Tables of words up to that many rows are broadcast, larger ones joined by shuffle.
 BROADCAST_ROWS = 50_000
 
@@ -62,6 +61,7 @@ WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
 PLAIN_WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
 DIVIDED = re.compile(r"((?:[^\W\d_][^\W_]*-)?[^\W_]+)[-¬][^\S\n]*\n\s*([^\W\d_][^\W_]*(?:-[^\W\d_][^\W_]*)*(?![-¬][^\S\n]*\n))")
 WRAP = re.compile(r"[-¬][^\S\n]*\n\s*")
+ENDS = frozenset(SENTENCE_ENDS)
 SENTENCE = re.compile(r"[^\W\d_][.!?][\"'”»)]*(?:\s|$)")
 MARKS = frozenset("-*•–‣◦▪o(0123456789")
 #: All that cannot stand in a word of ASCII text becomes a space.
@@ -72,7 +72,7 @@ EDGE_HYPHENS = re.compile("(?<![a-z0-9])-+|-+(?![a-z0-9])|--+")
 def ascii_words(text: str) -> list[str]:
     """The words of ASCII text in lower case: letters and digits, with single hyphens between."""
     flat = text.translate(SPACED)
-    if "-" in flat:
+    if "-" in flat and ("- " in flat or " -" in flat or "--" in flat or flat[0] == "-" or flat[-1] == "-"):
         flat = EDGE_HYPHENS.sub(" ", flat)
     return flat.split()
 
@@ -204,7 +204,7 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                             cut_ |= h
                     n, edges = len(parts), []
                     for at in {0, 1, 2, n - 2, n - 1}:
-                        if 0 <= at < n and "\n" not in (line := parts[at].text) and not OPEN_END.search(line):
+                        if 0 <= at < n and "\n" not in (line := parts[at].text) and line.rstrip(CLOSING)[-1:] not in ENDS:
                             edges.append({"text": line, "place": at, "count": n, "kind": parts[at].kind})
                     if edges:
                         pages.append((k, *place, edges))
@@ -430,7 +430,7 @@ def element_edges(df: DataFrame) -> DataFrame:
     """Edge lines of element tables: the first three and last two elements of each page by ``seq``."""
     df = df.select("element_key", "run_id", "book_id", "page", "seq", "text")
     extent = df.groupBy("run_id", "page").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    short = df.where(~F.col("text").contains("\n") & ~F.col("text").rlike(SENTENCE_END))
+    short = df.where(~F.col("text").contains("\n") & ~F.right(F.rtrim("text", F.lit(CLOSING)), F.lit(1)).isin(*SENTENCE_ENDS))
     near = short.join(extent, ["run_id", "page"]).where("seq - lo <= 2 or hi - seq <= 1")
     return near.select(
         F.lit("element").alias("src_table"), F.col("element_key").cast("long").alias("rec_key"), "run_id", "book_id", "page", "text",
