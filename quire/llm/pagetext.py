@@ -9,6 +9,8 @@ from typing import NamedTuple
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|<!--.*?-->|<[!?][^>]*>", re.S)
 # Tags that end a line of text, and those whose content is not readable.
 BLOCKS = frozenset("p div section article main header footer nav aside h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr blockquote pre figure figcaption hr body html form address".split())
+LISTS = {"ul": "li", "ol": "li", "table": "tr", "dl": "dl"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SILENT = re.compile(r"<(script|style|head|title)\b[^>]*>.*?</\1\s*>", re.S | re.I)
 
 
@@ -29,73 +31,68 @@ def units(source: str | None) -> list[Unit]:
     out: list[Unit] = []
     parts: list[str] = []
     kind, zone, group, inside, bold = "p", "", 0, 0, 0
+    # Text, then a slash, a name, attributes and the text behind for each tag.
+    pieces = TAG.split(source)
+    if pieces[0]:
+        parts.append(pieces[0])
+    for slash, name, attributes, behind in zip(pieces[1::4], pieces[2::4], pieces[3::4], pieces[4::4]):
+        if name is not None:
+            name = name.lower()
+            if name in BLOCKS and name != "dt" and name != "dd":
+                end = bool(slash)
+                if parts:
+                    if (u := _unit(parts, kind, zone, group if inside else 0, bold)) is not None:
+                        out.append(u)
+                    parts, bold = [], 0
+                if name in LISTS:
+                    inside = 0 if end else 1
+                    group += not end
+                    kind = "p" if end else LISTS[name]
+                elif name == "header" or name == "footer":
+                    zone = "" if end else name
+                elif name == "li" or name == "tr":
+                    kind = "p" if end and not inside else name
+                elif name in HEADINGS:
+                    kind = "p" if end else "h"
+                elif not inside:
+                    kind = "p"
+                    zone = zone if zone == "header" or zone == "footer" else ""
+                    if not end and "class" in attributes:
+                        c = attributes.lower()
+                        if "running-head" in c or "page-header" in c or "pagehead" in c:
+                            zone = "header!"
+                        elif "page-number" in c or "page-footer" in c or "pagenum" in c or "pageno" in c:
+                            zone = "footer!"
+                if end and zone and zone[-1] == "!":
+                    zone = ""
+            elif name == "br":
+                # A break at the source's own line end is one break.
+                if behind[:1] != "\n":
+                    parts.append("\n")
+            elif name == "b" or name == "strong":
+                if slash and parts:
+                    bold += len(parts[-1].strip())
+            elif name == "td" or name == "th":
+                if not slash and parts and not parts[-1].endswith(" | "):
+                    parts.append(" | ")
+            elif name == "dt" or name == "dd":
+                if not slash and parts:
+                    parts.append("   ")
+        if behind:
+            parts.append(behind)
+    if parts and (u := _unit(parts, kind, zone, group if inside else 0, bold)) is not None:
+        out.append(u)
+    return out
 
-    def flush() -> None:
-        nonlocal parts, bold
-        if parts:
-            text = "".join(parts)
-            whole = kind == "p" and not zone and 0 < bold >= len(text.strip())
-            parts, bold = [], 0
-            if "&" in text:
-                text = _html.unescape(text)
-            text = text.strip()
-            if text:
-                out.append(Unit(zone or ("b" if whole else kind), text, group if inside else 0))
 
-    at = 0
-    for m in TAG.finditer(source):
-        if m.start() > at:
-            parts.append(source[at : m.start()])
-        at = m.end()
-        name = m.group(2)
-        if name is None:
-            continue
-        name = name.lower()
-        if name == "br":
-            # A break at the source's own line end is one break.
-            if source[at : at + 1] != "\n":
-                parts.append("\n")
-            continue
-        if name == "b" or name == "strong":
-            if m.group(1) and parts:
-                bold += len(parts[-1].strip())
-            continue
-        if name == "td" or name == "th":
-            if not m.group(1) and parts and not parts[-1].endswith(" | "):
-                parts.append(" | ")
-            continue
-        if name in BLOCKS:
-            end = bool(m.group(1))
-            if name in ("dt", "dd") :
-                if not end and parts:
-                    parts.append("   ")
-                continue
-            flush()
-            if name in ("ul", "ol", "table", "dl"):
-                inside = 0 if end else 1
-                group += not end
-                kind = "p" if end else {"table": "tr", "dl": "dl"}.get(name, "li")
-            elif name in ("header", "footer"):
-                zone = "" if end else name
-            elif name in ("li", "tr"):
-                kind = "p" if end and not inside else name
-            elif name[0] == "h" and len(name) == 2 and name[1].isdigit():
-                kind = "p" if end else "h"
-            elif not inside:
-                kind = "p"
-                zone = "" if zone not in ("header", "footer") else zone
-                if not end and "class" in m.group(3):
-                    c = m.group(3).lower()
-                    if "running-head" in c or "page-header" in c or "pagehead" in c:
-                        zone = "header!"
-                    elif "page-number" in c or "page-footer" in c or "pagenum" in c or "pageno" in c:
-                        zone = "footer!"
-            if zone.endswith("!") and end:
-                zone = ""
-    if at < len(source):
-        parts.append(source[at:])
-    flush()
-    return [u._replace(kind=u.kind.rstrip("!")) for u in out]
+def _unit(parts: list[str], kind: str, zone: str, group: int, bold: int) -> Unit | None:
+    """The block of some pieces of text, ``bold`` of its characters in bold; none if it is empty."""
+    text = parts[0] if len(parts) == 1 else "".join(parts)
+    whole = 0 < bold >= len(text.strip()) and kind == "p" and not zone
+    if "&" in text:
+        text = _html.unescape(text)
+    text = text.strip()
+    return Unit(zone.rstrip("!") or ("b" if whole else kind), text, group) if text else None
 
 
 def blocks(source: str | None) -> list[tuple[str, str]]:

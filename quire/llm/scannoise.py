@@ -27,7 +27,9 @@ import difflib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -59,6 +61,7 @@ BROADCAST_ROWS = 50_000
 WORD = re.compile(r"(?:(?<![^\s\"'“‘(«])[!|])?[^\W_]+(?:[-!|$][^\W_]+)*")
 #: The same words where no sign can stand within one.
 PLAIN_WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+SIGN_IN_WORD = re.compile(r"[!|$][^\W_]")
 DIVIDED = re.compile(r"((?:[^\W\d_][^\W_]*-)?[^\W_]+)[-¬][^\S\n]*\n\s*([^\W\d_][^\W_]*(?:-[^\W\d_][^\W_]*)*(?![-¬][^\S\n]*\n))")
 WRAP = re.compile(r"[-¬][^\S\n]*\n\s*")
 ENDS = frozenset(SENTENCE_ENDS)
@@ -77,6 +80,23 @@ def ascii_words(text: str) -> list[str]:
     return flat.split()
 
 
+def divided_words(text: str) -> tuple[set[tuple[str, str]], str]:
+    """(divided words, the text with a space for each), as DIVIDED finds them; it is tried only where a word ends in a hyphen at a line end."""
+    found: set[tuple[str, str]] = set()
+    parts, at = [], 0
+    for wrap in WRAP.finditer(text):
+        start = end = wrap.start()
+        while start > at and ((c := text[start - 1]) == "-" or c.isalnum()):
+            start -= 1
+        for i in range(start, end):
+            if (m := DIVIDED.match(text, i)) is not None:
+                found.add((m.group(1).lower(), m.group(2).lower()))
+                parts += text[at:i], " "
+                at = m.end()
+                break
+    return found, "".join(parts) + text[at:] if at else text
+
+
 def is_worded(words: list[str], distinct: set[str], text: str) -> bool:
     """Whether a text whose words the list hardly knows (another language, a book's own names) is made of words all the same: a sentence's
     length and end, words of sounds and of usual length, and no few ones over and over."""
@@ -100,6 +120,9 @@ def is_running_text(text: str, found: list[str], unlike: set[str], known: int) -
     if shaped >= 0.6 * lines and (lines > 1 or 2 * known < distinct or ".." in text or text[0] in "-*•–"):
         return False
     if "|" in text or "\t" in text or "  " in text or ";" in text:
+        # A line of cells has two separators.
+        if text.count("|") + text.count("\t") + text.count("  ") + text.count(";") < 1.2 * lines:
+            return True
         return len(quality.CELLS.findall(text)) < 0.6 * lines or quality.STATS.search(text) is not None
     return True
 
@@ -109,33 +132,57 @@ def is_word(w: str) -> bool:
     return len(w) > 1 and (w.isalpha() or (not w.isdigit() and any(map(str.isalpha, w))))
 
 
+NOTHING = (frozenset(), frozenset(), frozenset())
+
+
 class Reader:
-    """Collects the rows of one task."""
+    """Reads the texts of one task; texts of several copies are looked at once as long as they are remembered (a bound on memory, not on the data)."""
+
+    REMEMBERED = 5_000
 
     def __init__(self, known: frozenset[str]):
-        self.known, self.counts, self.repeated = known, Counter(), defaultdict(Counter)
+        self.known, self.memo = known, {}
+        self.counts: dict[int, Counter] = defaultdict(Counter)
+        self.listed: dict[int, list[set[str]]] = defaultdict(list)
 
     def read(self, text: str, copies: int = 1) -> tuple[set[str], set[tuple[str, str]]]:
         """(unknown words, divided words) of one text."""
+        if copies == 1:
+            unlike, divided, there = self.look(text)
+        else:
+            if (found := self.memo.get(text)) is None:
+                if len(self.memo) >= self.REMEMBERED:
+                    self.memo.clear()
+                found = self.memo[text] = self.look(text)
+            unlike, divided, there = found
+        if there:
+            self.listed[copies].append(there)
+        return unlike, divided
+
+    def settle(self) -> None:
+        """Counts the listed words read since the last call."""
+        for copies, found in self.listed.items():
+            self.counts[copies].update(chain.from_iterable(found))
+        self.listed.clear()
+
+    def look(self, text: str) -> tuple[set[str], set[tuple[str, str]], set[str]]:
+        """(unknown words, divided words, listed words) of running text."""
         text = quality.plain(text)
         divided: set[tuple[str, str]] = set()
         flat = text
-        if "\n" in text and WRAP.search(text):
-            divided = {(a.lower(), b.lower()) for a, b in DIVIDED.findall(text)}
-            if divided:
-                flat = DIVIDED.sub(" ", text)
-        if "!" in flat or "|" in flat or "$" in flat:
+        if "\n" in text and ("-" in text or "¬" in text):
+            divided, flat = divided_words(text)
+        if ("!" in flat or "|" in flat or "$" in flat) and SIGN_IN_WORD.search(flat):
             words = WORD.findall(flat.lower())
         else:
             words = ascii_words(flat) if flat.isascii() else PLAIN_WORD.findall(flat.lower())
         if not words:
-            return set(), set()
+            return NOTHING
         distinct = set(words)
         there = distinct & self.known
         if not is_running_text(text, words, distinct, len(there)):
-            return set(), set()
-        (self.counts if copies == 1 else self.repeated[copies]).update(there)
-        return distinct - there, divided
+            return NOTHING
+        return distinct - there, divided, there
 
 
 SCHEMA = (
@@ -158,6 +205,13 @@ def as_batch(size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(TYPES))
 
 
+def values(column: pa.Array) -> list:
+    """A column as Python values, by way of numpy where that is the same and faster."""
+    if column.null_count and not pa.types.is_string(column.type):
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def index_rows(kind: str, src: str, index: dict, single: dict | None = None) -> pa.RecordBatch:
     """An inverted index of one batch as rows: entry (a word or a pair), the keys of its records, and the ``single`` count of those without copies."""
     entries, lists = list(index), list(index.values())
@@ -187,9 +241,9 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
         for batch in batches:
             words: dict[str, list[int]] = defaultdict(list)
             pairs: dict[tuple[str, str], list[int]] = defaultdict(list)
-            pages: list[tuple] = []
-            others: dict[int, Counter] = defaultdict(Counter)
-            cols = [c.to_pylist() for c in batch.columns]
+            pages, edges, offsets = [], [], [0]
+            repeated: dict[int, list[set[str]]] = defaultdict(list)
+            cols = [values(c) for c in batch.columns]
             for k, t, copies, *place in zip(*cols, strict=True):
                 if not t:
                     continue
@@ -202,30 +256,40 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                             w, h = reader.read(u.text, copies)
                             got |= w
                             cut_ |= h
-                    n, edges = len(parts), []
+                    n = len(parts)
                     for at in {0, 1, 2, n - 2, n - 1}:
                         if 0 <= at < n and "\n" not in (line := parts[at].text) and line.rstrip(CLOSING)[-1:] not in ENDS:
-                            edges.append({"text": line, "place": at, "count": n, "kind": parts[at].kind})
-                    if edges:
-                        pages.append((k, *place, edges))
+                            edges.append((line, at, n, parts[at].kind))
+                    if len(edges) > offsets[-1]:
+                        pages.append((k, *place))
+                        offsets.append(len(edges))
                 else:
                     got, cut_ = reader.read(t, copies)
                 if copies > 1:
-                    others[copies].update(got)
+                    repeated[copies].append(got)
                 for w in got:
                     words[w].append(k)
                 for h in cut_:
                     pairs[h].append(k)
+            reader.settle()
             words = {w: v for w, v in words.items() if is_word(w)}
+            others = {c: Counter(w for w in chain.from_iterable(x) if w in words) for c, x in repeated.items()}
             # Each text of a word is in its list once; those of many copies are counted apart.
-            yield index_rows("w", src, words, {w: len(v) - sum(c[w] for c in others.values()) for w, v in words.items()})
+            single = {w: len(v) for w, v in words.items()}
+            for c in others.values():
+                for w, n in c.items():
+                    single[w] -= n
+            yield index_rows("w", src, words, single)
             if others:
-                yield counted_rows("r", src, {c: Counter({w: n for w, n in x.items() if is_word(w)}) for c, x in others.items()})
+                yield counted_rows("r", src, others)
             yield index_rows("h", src, pairs)
             if pages:
-                keys, runs, books, numbers, edges = zip(*pages, strict=True)
-                yield as_batch(len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=edges)
-        yield counted_rows("c", src, {1: reader.counts, **reader.repeated})
+                keys, runs, books, numbers = zip(*pages, strict=True)
+                lines = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*edges, strict=True), EDGES.value_type, strict=True)], names=[f.name for f in EDGES.value_type])
+                yield as_batch(
+                    len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines)
+                )
+        yield counted_rows("c", src, reader.counts)
 
     place = ["run_id", "book_id", "page"] if html else []
     return df.select(F.col(key).cast("long").alias("k"), text, F.coalesce("text_copies", F.lit(1)).alias("copies"), *place).mapInArrow(run, SCHEMA)
@@ -315,6 +379,7 @@ def roman(s: str) -> int:
     return sum(-x if i + 1 < len(v) and x < v[i + 1] else x for i, x in enumerate(v))
 
 
+@lru_cache(maxsize=10_000)
 def number_line(text: str) -> tuple[int | None, bool]:
     """(the number that is all of a line, whether signs or words mark it as a page number)."""
     m = NUMBER.fullmatch(text)
@@ -329,10 +394,19 @@ def number_line(text: str) -> tuple[int | None, bool]:
     return roman(core), True
 
 
+@lru_cache(maxsize=10_000)
 def letters(s: str) -> str:
     return " ".join(re.findall(r"[^\W\d_]+", s.lower()))
 
 
+@lru_cache(maxsize=10_000)
+def is_like(own: str, want: str) -> bool:
+    """Whether letters are those of a title, some misread or missing."""
+    if own == want:
+        return True
+    return len(own) > 3 and abs(len(own) - len(want)) <= 3 and difflib.SequenceMatcher(None, own, want, autojunk=False).ratio() >= 0.85
+
+
 def edge_kind(text: str, want: str, page: int | None, place: int, count: int, kind: str, repeated: bool) -> str | None:
     """header, pageno or none for one line; ``want``: letters of the title, ``place`` of ``count`` blocks, ``kind`` of block (t where markup is unknown)."""
     top, last = place <= 1, place == count - 1
@@ -347,10 +421,8 @@ def edge_kind(text: str, want: str, page: int | None, place: int, count: int, ki
         return "pageno" if number == page else None
     if kind == "h" or not (place <= 2 or last or kind in ("header", "footer")):
         return None
-    if want and abs(len(text) - len(want)) <= 16:
-        own = letters(text)
-        if own == want or (len(own) > 3 and abs(len(own) - len(want)) <= 3 and difflib.SequenceMatcher(None, own, want, autojunk=False).ratio() >= 0.85):
-            return "header"
+    if want and abs(len(text) - len(want)) <= 16 and is_like(letters(text), want):
+        return "header"
     if kind == "header":
         return "header"
     return "header" if repeated and top and not re.search(r"[.!?,;:]$", text) else None
@@ -380,14 +452,16 @@ def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
     # Only these can be a head or a number; the rest needs no further look.
     near = F.abs(F.length("key") - F.length(letters_of("title"))) <= 3
     lines = lines.where(F.col("text").rlike(NUMBER_LIKE) | near | F.col("repeated") | F.col("kind").isin("header", "footer"))
-    fields = ["rec_key", "place", "count", "kind", "text", "title", "repeated"]
-    pages = lines.groupBy("src_table", "run_id", "page").agg(F.collect_list(F.struct(*fields)).alias("lines"))
+    pages = lines.groupBy("src_table", "run_id", "page").agg(F.collect_list(F.struct(*Line._fields)).alias("lines"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for src, page, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                rows += [(src, *x) for x in page_noise(page, found)]
+            found = batch.column(2)
+            lines = list(map(Line, *map(values, found.flatten().flatten())))
+            ends = np.cumsum(values(found.value_lengths())).tolist()
+            for src, page, start, end in zip(values(batch.column(0)), values(batch.column(1)), [0, *ends], ends):
+                rows += [(src, *x) for x in page_noise(page, lines[start:end])]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 4
             types = [pa.string(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["src_table", "rec_key", "noise", "value"])
@@ -395,18 +469,30 @@ def edge_noise(lines: DataFrame, books: DataFrame) -> DataFrame:
     return pages.select("src_table", "page", "lines").mapInArrow(run, "src_table string, rec_key long, noise string, value string")
 
 
-def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]]:
+class Line(NamedTuple):
+    """One edge line of a page."""
+
+    rec_key: int
+    place: int
+    count: int
+    kind: str
+    text: str
+    title: str | None
+    repeated: bool | None
+
+
+def page_noise(page: int | None, lines: list[Line]) -> list[tuple[int, str, str]]:
     """(rec_key, noise, value) of the edge lines of one page, judged together."""
-    lines = sorted({(x["place"], x["rec_key"]): x for x in lines}.values(), key=lambda x: x["place"])
-    want = letters(lines[0]["title"] or "")
-    found = [
-        [x["rec_key"], edge_kind(x["text"], want, page, x["place"], x["count"], x["kind"], x["repeated"] is True), x["text"], x["place"], x["kind"]] for x in lines
-    ]
+    if len(lines) > 1:
+        lines = sorted({(x.place, x.rec_key): x for x in lines}.values(), key=lambda x: x.place)
+    title = lines[0].title
+    want = letters(title or "")
+    found = [[x.rec_key, edge_kind(x.text, want, page, x.place, x.count, x.kind, x.repeated is True), x.text, x.place, x.kind] for x in lines]
     heads = {x[3] for x in found if x[1] == "header"}
     # A bare number at the top is a section's own if the page ends with its number or sections could have come so far.
     ends = any(x[1] == "pageno" and x[3] >= 2 for x in found)
     for x, line in zip(found, lines, strict=True):
-        if x[1] == "pageno" and x[2].isdigit() and x[4] in ("t", "p") and x[3] < 2 and line["count"] > 2:
+        if x[1] == "pageno" and x[2].isdigit() and x[4] in ("t", "p") and x[3] < 2 and line.count > 2:
             above_head = x[3] + 1 in heads
             below_head = x[3] == 1 and 0 in heads and int(x[2]) > 3
             if (ends and not above_head) or (x[3] == 1 and not above_head and not below_head) or (x[3] == 0 and x[4] == "t" and not above_head and int(x[2]) <= 6):
@@ -417,7 +503,6 @@ def page_noise(page: int | None, lines: list[dict]) -> list[tuple[int, str, str]
             if x[1] == "pageno" and x[2].isdigit() and x[3] >= 2 and x[4] in ("t", "p"):
                 x[1] = None
     # The title of the book on its first page is no running head unless it stands there twice.
-    title = lines[0]["title"]
     if page == 1 and title:
         plain = [x for x in found if x[1] == "header" and x[2] == title and x[4] in ("t", "p", "b")]
         marked = any(x[4] == "h" and x[2] == title for x in found)

@@ -90,3 +90,31 @@ def test_repair(spark):
     found = spark.createDataFrame([("element", 1, "hyphen", "kitchen", "kit\nchen"), ("element", 1, "misread", "kitchen", "kifchen")], "src_table string, rec_key long, noise string, value string, stored string")
     got = {r.rec_key: r.text for r in sn.repair(df, "element", "k", "text", found, html=False).select("rec_key", F.col("text")).collect()}
     assert got == {1: "You open the kitchen and the kitchen.", 2: None}
+
+
+def test_divided_words_are_those_of_the_pattern():
+    rng = random.Random(5)
+    bits = ["kit", "chen", "5th", "ß", "_", "-", "-\n", "¬\n", "- \n", "--\n", "-\n\n", "\n", " ", "12", "well-made", "."]
+    for _ in range(5_000):
+        text = "".join(rng.choice(bits) for _ in range(12))
+        assert sn.divided_words(text) == ({(a.lower(), b.lower()) for a, b in sn.DIVIDED.findall(text)}, sn.DIVIDED.sub(" ", text))
+    assert sn.divided_words("the kit-\nchen of x-\n5") == ({("kit", "chen")}, "the   of x-\n5")
+
+
+def test_copies_are_looked_at_once(monkeypatch):
+    looked = []
+    look = sn.Reader.look
+    monkeypatch.setattr(sn.Reader, "look", lambda self, text: looked.append(text) or look(self, text))
+    reader = sn.Reader(KNOWN)
+    texts = ["you open the kit-\nchen and the old gate", "the stone is cold and you open it"]
+    got = [reader.read(t, 3) for t in texts * 3] + [reader.read(texts[0])]
+    reader.settle()
+    assert looked == [*texts, texts[0]] and got[0] == got[2] == got[6] == ({"old"}, {("kit", "chen")})
+    assert reader.counts[3]["the"] == 6 and reader.counts[1]["the"] == 1
+
+
+def test_cells_have_two_separators():
+    words = "you open the gate to the stone".split()
+    prose = "you open the gate; to the stone\nthe kitchen is cold and dark,\nand you open the gate again"
+    assert sn.is_running_text(prose, words, set(words), 6)
+    assert not sn.is_running_text("gate | 3 | 9", words, set(words), 6) and not sn.is_running_text("gate    3    9", words, set(words), 6)
