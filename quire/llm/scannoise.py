@@ -136,12 +136,13 @@ NOTHING = (frozenset(), frozenset(), frozenset())
 
 
 class Reader:
-    """Reads the texts of one task; texts of several copies are looked at once as long as they are remembered (a bound on memory, not on the data)."""
+    """Reads the texts of one task; texts of several copies are looked at once as long as they are remembered. Both limits bound
+    memory, not the data: characters remembered (each text counts 200 more), and texts whose words wait to be counted."""
 
-    REMEMBERED = 5_000
+    REMEMBERED, WAITING = 2_000_000, 1_000
 
     def __init__(self, known: frozenset[str]):
-        self.known, self.memo = known, {}
+        self.known, self.memo, self.remembered, self.waiting = known, {}, 0, 0
         self.counts: dict[int, Counter] = defaultdict(Counter)
         self.listed: dict[int, list[set[str]]] = defaultdict(list)
 
@@ -151,12 +152,17 @@ class Reader:
             unlike, divided, there = self.look(text)
         else:
             if (found := self.memo.get(text)) is None:
-                if len(self.memo) >= self.REMEMBERED:
+                self.remembered += len(text) + 200
+                if self.remembered > self.REMEMBERED:
                     self.memo.clear()
+                    self.remembered = len(text) + 200
                 found = self.memo[text] = self.look(text)
             unlike, divided, there = found
         if there:
             self.listed[copies].append(there)
+            self.waiting += 1
+            if self.waiting >= self.WAITING:
+                self.settle()
         return unlike, divided
 
     def settle(self) -> None:
@@ -164,6 +170,7 @@ class Reader:
         for copies, found in self.listed.items():
             self.counts[copies].update(chain.from_iterable(found))
         self.listed.clear()
+        self.waiting = 0
 
     def look(self, text: str) -> tuple[set[str], set[tuple[str, str]], set[str]]:
         """(unknown words, divided words, listed words) of running text."""
@@ -222,7 +229,7 @@ def index_rows(kind: str, src: str, index: dict, single: dict | None = None) ->
     return as_batch(len(entries), kind=kind, src_table=src, a=first, b=second, keys=keys, n=None if single is None else [single[e] for e in entries])
 
 
-def counted_rows(kind: str, src: str, counts: dict[int, Counter]) -> pa.RecordBatch:
+def counted_rows(kind: str, src: str, counts: dict[int, dict[str, int]]) -> pa.RecordBatch:
     """Counts of words by the number of copies of their texts as rows of kind c (listed words) or r (others)."""
     rows = [(w, n, copies) for copies, c in counts.items() for w, n in c.items()]
     return as_batch(len(rows), kind=kind, src_table=src, a=[x[0] for x in rows], n=[x[1] for x in rows], copies=[x[2] for x in rows])
@@ -242,7 +249,7 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
             words: dict[str, list[int]] = defaultdict(list)
             pairs: dict[tuple[str, str], list[int]] = defaultdict(list)
             pages, edges, offsets = [], [], [0]
-            repeated: dict[int, list[set[str]]] = defaultdict(list)
+            others: dict[int, Counter] = defaultdict(Counter)
             cols = [values(c) for c in batch.columns]
             for k, t, copies, *place in zip(*cols, strict=True):
                 if not t:
@@ -266,14 +273,13 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                 else:
                     got, cut_ = reader.read(t, copies)
                 if copies > 1:
-                    repeated[copies].append(got)
+                    others[copies].update(got)
                 for w in got:
                     words[w].append(k)
                 for h in cut_:
                     pairs[h].append(k)
-            reader.settle()
             words = {w: v for w, v in words.items() if is_word(w)}
-            others = {c: Counter(w for w in chain.from_iterable(x) if w in words) for c, x in repeated.items()}
+            others = {c: {w: n for w, n in x.items() if w in words} for c, x in others.items()}
             # Each text of a word is in its list once; those of many copies are counted apart.
             single = {w: len(v) for w, v in words.items()}
             for c in others.values():
@@ -289,6 +295,7 @@ def scan(df: DataFrame, src: str, key: str, text: str, known: frozenset[str], ht
                 yield as_batch(
                     len(pages), kind="e", src_table=src, rec_key=keys, run_id=runs, book_id=books, page=numbers, edges=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines)
                 )
+        reader.settle()
         yield counted_rows("c", src, reader.counts)
 
     place = ["run_id", "book_id", "page"] if html else []

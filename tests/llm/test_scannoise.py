@@ -118,3 +118,18 @@ def test_cells_have_two_separators():
     prose = "you open the gate; to the stone\nthe kitchen is cold and dark,\nand you open the gate again"
     assert sn.is_running_text(prose, words, set(words), 6)
     assert not sn.is_running_text("gate | 3 | 9", words, set(words), 6) and not sn.is_running_text("gate    3    9", words, set(words), 6)
+
+
+def test_limits_of_the_reader_lose_no_count(monkeypatch):
+    texts = [("the stone is cold and you open it", 2), ("you open the kit-\nchen and the old gate", 3), ("the gate is dark and you open it", 1)] * 4
+
+    def counts():
+        reader = sn.Reader(KNOWN)
+        found = [reader.read(*x) for x in texts]
+        reader.settle()
+        return found, reader.counts, len(reader.memo)
+
+    found, counted, remembered = counts()
+    monkeypatch.setattr(sn.Reader, "REMEMBERED", 300)
+    monkeypatch.setattr(sn.Reader, "WAITING", 2)
+    assert counts() == (found, counted, 1) and remembered == 2
